@@ -55,14 +55,18 @@ def sentence_pairs(df: DataFrame) -> DataFrame:
 
 
 def fit_bigram_lm(df: DataFrame) -> DataFrame:
-    """(w1, w2, n): how often w2 follows w1 in the whole texts of the corpus."""
+    """(w1, w2, n): how often w2 follows w1 in the whole texts of the corpus.
+
+    A fit is an action: the counts are stored once and reread by every scoring.
+    """
     ws = F.col("ws")
     n = F.greatest(F.size(ws) - 1, F.lit(0))
     pairs = F.zip_with(F.slice(ws, 1, n), F.slice(ws, 2, n), lambda a, b: F.struct(a.alias("w1"), b.alias("w2")))
-    return (
+    counts = (
         df.select(X.words(X.present(F.col("text"))).alias("ws"))
         .select(F.explode(pairs).alias("p")).groupBy("p.w1", "p.w2").agg(F.count("*").alias("n"))
     )
+    return stored(counts, "bigrams")
 
 
 def bigram_scores(lm: DataFrame, wanted: DataFrame, k: float = 0.1) -> DataFrame:
