@@ -4,7 +4,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tellmark.functions import text as X
-from tellmark.functions.ranks import one_row, running_totals
+from tellmark.functions.ranks import running_totals
 
 
 def profile_shape(df: DataFrame) -> DataFrame:
@@ -75,31 +75,30 @@ def _clean(value: Column) -> Column:
 
 
 def fit_medians(df: DataFrame, features: list[str]) -> DataFrame:
-    """Exact median per feature over finite values: (feature, median).
+    """Exact median per feature over finite values: (feature, median). A fit, hence eager.
 
     A quantile sketch gives every feature a bracket around its median; only
     the values inside the brackets (about 2% of the cells, equal ones counted
     together) are shuffled and ranked. The sketch is a hundred times finer
-    than the bracket, so the median cannot fall outside.
+    than the bracket, so the median cannot fall outside. The driver sees a
+    few numbers per feature.
     """
     around = F.array(F.lit(0.49), F.lit(0.51))
-    sketch = one_row(df.agg(
-        *[F.percentile_approx(_clean(F.col(f)), around, F.lit(10000)).alias(f) for f in features]
-    ))
-    below = df.agg(*[
-        F.struct(
-            F.lit(f).alias("feature"),
-            F.count(_clean(F.col(f))).alias("total"),
-            F.count(F.when(_clean(F.col(f)) < sketch[f][0], 1)).alias("below"),
-        ).alias(f)
-        for f in features
-    ]).select(F.explode(F.array(*[F.col(f"`{f}`") for f in features])).alias("r")).select("r.*")
+    clean = {f: _clean(F.col(f)) for f in features}
+    sketch = df.agg(*[F.percentile_approx(c, around, F.lit(10000)).alias(f) for f, c in clean.items()]).first()
+    edges = {f: sketch[f] for f in features if sketch[f] is not None}
+    if not edges:
+        return df.sparkSession.createDataFrame([], "feature string, median double")
+    totals = df.agg(*[
+        F.struct(F.count(clean[f]).alias("total"), F.count_if(clean[f] < low).alias("below")).alias(f)
+        for f, (low, _) in edges.items()
+    ]).first()
+    below = df.sparkSession.createDataFrame(
+        [(f, totals[f]["total"], totals[f]["below"]) for f in edges], "feature string, total bigint, below bigint"
+    )
     near = F.array(*[
-        F.struct(
-            F.lit(f).alias("feature"),
-            F.when(_clean(F.col(f)).between(sketch[f][0], sketch[f][1]), _clean(F.col(f))).alias("value"),
-        )
-        for f in features
+        F.struct(F.lit(f).alias("feature"), F.when(clean[f].between(low, high), clean[f]).alias("value"))
+        for f, (low, high) in edges.items()
     ])
     counts = (
         df.select(F.explode(near).alias("r")).filter("r.value is not null")
@@ -113,15 +112,20 @@ def fit_medians(df: DataFrame, features: list[str]) -> DataFrame:
         return F.max(F.when((start <= rank) & (rank < start + F.col("n")), F.col("value")))
 
     middle = (F.col("total") - 1) / 2
-    return ranked.groupBy("feature").agg(
+    medians = ranked.groupBy("feature").agg(
         ((at(F.floor(middle)) + at(F.ceil(middle))) / 2).alias("median")
     )
+    rows = [tuple(r) for r in medians.collect()]  # one per feature
+    return df.sparkSession.createDataFrame(rows, "feature string, median double")
 
 
 def impute(df: DataFrame, medians: DataFrame, features: list[str]) -> DataFrame:
-    """Replace missing, NaN and infinite values by stored medians (one row per feature)."""
-    lookup = medians.agg(F.map_from_entries(F.collect_list(F.struct("feature", "median"))).alias("m")).scalar()
-    filled = {f: F.coalesce(_clean(F.col(f)), F.try_element_at(lookup, F.lit(f))).alias(f) for f in features}
+    """Replace missing, NaN and infinite values by stored medians (one row per feature).
+
+    A feature that was missing everywhere at the fit has no median and becomes 0.
+    """
+    known = {r["feature"]: r["median"] for r in medians.collect()}
+    filled = {f: F.coalesce(_clean(F.col(f)), F.lit(float(known.get(f, 0.0)))).alias(f) for f in features}
     return df.select(*[filled.get(c, F.col(c)) for c in df.columns])
 
 

@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, Window as W, functions as F
 from tellmark import lexicon as L
 from tellmark.functions import text as X
 from tellmark.operators.evaluate import metrics_at
+from tellmark.session import stored
 
 VOCABULARY = 1 << 16  # upper bound of the model and of the weight table that is broadcast
 
@@ -28,12 +29,13 @@ def fit_base_classifier(
     reg_params: Iterable[float] = (0.001, 0.01, 0.1), max_iter: int = 50,
 ) -> PipelineModel:
     """Fit on train and keep the regularisation with the best validation F1. Whole texts are used."""
+    train, validation = (stored(part.select("label", "text"), "texts") for part in (train, validation))
     features = Pipeline(stages=[
         _tokenizer(),
         CountVectorizer(inputCol="_tokens", outputCol="_tf", vocabSize=vocabulary, minDF=min_df),
         IDF(inputCol="_tf", outputCol="_tfidf"),
     ]).fit(train)
-    ready, held = features.transform(train).select("label", "_tfidf"), features.transform(validation).select("label", "_tfidf")
+    ready, held = (stored(features.transform(part).select("label", "_tfidf"), "tfidf") for part in (train, validation))
     best, best_f1 = None, -1.0
     for reg in reg_params:
         model = LogisticRegression(featuresCol="_tfidf", labelCol="label", regParam=reg, maxIter=max_iter).fit(ready)

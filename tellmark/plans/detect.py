@@ -25,7 +25,8 @@ def all_features(df: DataFrame, base: PipelineModel, lm: DataFrame, neardup: boo
     are scored on their own."""
     wide = base_prob(text_features(df), base).join(perplexity_features(df, lm), "review_id")
     if neardup:
-        return near_duplicate_features(wide, **options)
+        found = near_duplicate_features(df.select("review_id", "text"), **options).drop("text")
+        return wide.join(found, "review_id")
     return wide.select("*", *[F.lit(0.0).alias(f) for f in L.NEAR_DUPLICATE_FEATURES])
 
 

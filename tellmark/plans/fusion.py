@@ -14,7 +14,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tellmark import lexicon as L
-from tellmark.session import checkpoint_root
+from tellmark.session import checkpoint_root, stored
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
@@ -35,8 +35,8 @@ def fit_fusion(df: DataFrame, order: list[str] | None = None, rounds: int = 400,
     }
     assembler = VectorAssembler(inputCols=order, outputCol="features", handleInvalid="error")
     trees = GBTClassifier(featuresCol="features", labelCol="label", maxIter=rounds, maxDepth=depth, **options)
-    ready = assembler.transform(df.select(*order, F.col("label").cast("int").alias("label")))
-    return PipelineModel(stages=[assembler, trees.fit(ready.select("features", "label"))])
+    ready = assembler.transform(df.select(*order, F.col("label").cast("int").alias("label"))).select("features", "label")
+    return PipelineModel(stages=[assembler, trees.fit(stored(ready, "training"))])
 
 
 def save_model(model: PipelineModel, path: str) -> None:

@@ -22,6 +22,19 @@ def query(fn):
     return fn
 
 
+def once_per_session(fn):
+    """Fit once and let the model queries of one session share the result."""
+    fitted = {}
+
+    def shared(spark, sf):
+        at = (spark.sparkContext.applicationId, sf)
+        if at not in fitted:
+            fitted[at] = fn(spark, sf)
+        return fitted[at]
+
+    return shared
+
+
 def reviews(spark: SparkSession, sf: str) -> DataFrame:
     return tables.driver_reviews(spark, sf)
 
@@ -343,11 +356,13 @@ def _parts(spark, sf):
     return rows.filter("split = 'train'"), rows.filter("split <> 'train'")
 
 
+@once_per_session
 def _base(spark, sf):
     train, rest = _parts(spark, sf)
     return base_model.fit_base_classifier(train, rest, reg_params=(0.01, 0.1), max_iter=20)
 
 
+@once_per_session
 def _trained(spark, sf):
     """(base model, feature table of all reviews, fusion model, medians)."""
     base = _base(spark, sf)
@@ -577,7 +592,7 @@ def score_stream(spark, sf):
 @query
 def dedupe_stream(spark, sf):
     """Documents arrive at the time of the event with their id."""
-    times = spark.read.parquet(f"{sf}/events.parquet").select(F.col("event_id").alias("review_id"), "ts")
+    times = spark.read.parquet(f"{sf}/events.parquet").select(F.col("event_id").alias("review_id"), F.col("ts").cast("timestamp").alias("ts"))
     arriving = _stream(spark, sf).join(times, "review_id")
     out = streams.run_to_table(
         streams.dedupe_stream(arriving, "ts", "3650 days").select("text_hash"),
