@@ -29,17 +29,24 @@ def strip_wrappers(df: DataFrame) -> DataFrame:
     return df.withColumn("text", unwrapped(F.col("text")))
 
 
+def _first_copies(texts: DataFrame, usable: Column, key: str) -> DataFrame:
+    """Lowest id among the usable copies of every text: a hash aggregate of (key, id).
+
+    One row per text and map task leaves a task, however many copies there are.
+    """
+    return (
+        texts.groupBy(X.text_key(F.col("text")).alias("_key"))
+        .agg(F.min(F.when(usable, F.col(key))).alias(key))
+        .filter(F.col(key).isNotNull()).select(key)
+    )
+
+
 def dedupe_text(df: DataFrame, key: str = "review_id") -> DataFrame:
     """Keep the review with the lowest id of every text.
 
-    The survivors' ids come from a hash aggregate (one row per text and map
-    task leaves a task, however many copies there are); the rows themselves
-    are then picked by their unique id, so no task receives a group of copies.
+    The rows are picked by their unique id, so no task receives a group of copies.
     """
-    keep = (
-        df.groupBy(X.text_key(F.col("text")).alias("_key")).agg(F.min(key).alias(key)).select(key)
-    )
-    return df.join(keep, key, "left_semi")
+    return df.join(_first_copies(df.select(key, "text"), F.lit(True), key), key, "left_semi")
 
 
 def _word_count_ok(text: Column, low: int, high: int) -> Column:
@@ -50,13 +57,15 @@ def filter_word_count(df: DataFrame, low: int = L.WORD_LIMITS[0], high: int = L.
     return df.filter(_word_count_ok(F.col("text"), low, high))
 
 
-def clean_reviews(df: DataFrame) -> DataFrame:
+def clean_reviews(df: DataFrame, key: str = "review_id") -> DataFrame:
     """Refusals out, wrappers off, first copy of each text, 5 to 300 words.
 
-    The length filter runs below the dedupe: all copies of a text have the same
-    length, so the result is the same and fewer rows are shuffled.
+    All conditions are decided once, next to the text key; only (key, id) is
+    shuffled to find the first copies, and the rows are then picked by id.
     """
-    return dedupe_text(filter_word_count(strip_wrappers(filter_refusals(df))))
+    texts = df.select(key, is_refusal(F.col("text")).alias("refused"), unwrapped(F.col("text")).alias("text"))
+    usable = ~F.col("refused") & _word_count_ok(F.col("text"), *L.WORD_LIMITS)
+    return strip_wrappers(df.join(_first_copies(texts, usable, key), key, "left_semi"))
 
 
 def clean_report(df: DataFrame) -> DataFrame:

@@ -30,7 +30,7 @@ def describe_words(df: DataFrame) -> DataFrame:
     the longest text and not by the number of rows.
     """
     wc = X.token_count(F.col("text"))
-    return df.select(wc.alias("wc")).filter("wc is not null").agg(
+    return df.filter("text is not null").select(wc.alias("wc")).agg(
         F.count("wc").alias("count"),
         F.avg("wc").alias("mean"),
         F.stddev_samp("wc").alias("std"),

@@ -53,8 +53,9 @@ def labelled(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def scored(spark: SparkSession, sf: str) -> DataFrame:
-    """Labelled reviews with style features, one of which is the score."""
-    return style.style_features(labelled(spark, sf))
+    """Labelled reviews with style features, one of which is the score, as a stored table."""
+    wide = style.style_features(labelled(spark, sf))
+    return stored(wide.select("review_id", "_model", "label", *L.TEXT_STYLE_FEATURES), "scored")
 
 
 # --- sources and sinks -----------------------------------------------------------------
@@ -581,7 +582,9 @@ def _stream(spark, sf):
 
 @query
 def score_stream(spark, sf):
-    rows = streams.score_stream(_stream(spark, sf), lambda df: df.withColumn("prob", F.col(SCORE)))
+    rows = streams.score_stream(
+        _stream(spark, sf), lambda df: df.withColumn("prob", F.col(SCORE)), spark.sparkContext.defaultParallelism
+    )
     out = streams.run_to_table(
         rows.select("review_id", *L.TEXT_RULE_FEATURES, "reject_reason", "classification", "confidence"),
         scratch_path(spark, "stream"), scratch_path(spark, "stream-state"),
