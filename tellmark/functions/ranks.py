@@ -3,6 +3,8 @@
 Values are counted first (map-side combine, so a value holding a third of the
 rows is one row), cut into ordered buckets at approximate quantiles, and only
 bucket totals, at most BUCKETS per group, are ever accumulated in one place.
+Groups are splits, models or features: a handful by nature, never data values.
+The edges and bucket offsets broadcast here are bounded by groups x BUCKETS.
 """
 from __future__ import annotations
 
@@ -20,7 +22,7 @@ def _bucketed(counts: DataFrame, keys: list[str], value: str) -> DataFrame:
     """Add an ordered `_bucket`; edges are one short array per key."""
     grid = F.array(*[F.lit(i / BUCKETS) for i in range(1, BUCKETS)])
     edges = counts.groupBy(*keys).agg(F.percentile_approx(value, grid, F.lit(10000)).alias("_edges"))
-    joined = counts.join(edges, keys)
+    joined = counts.join(F.broadcast(edges), keys)
     return joined.withColumn(
         "_bucket", F.size(F.filter("_edges", lambda e: e <= F.col(value)))
     ).drop("_edges")
@@ -40,7 +42,7 @@ def running_totals(counts: DataFrame, keys: list[str], value: str, amounts: list
     )
     inside = W.partitionBy(*keys, "_bucket").orderBy(value).rowsBetween(W.unboundedPreceding, -1)
     return (
-        rows.join(offsets, [*keys, "_bucket"])
+        rows.join(F.broadcast(offsets), [*keys, "_bucket"])
         .select(
             *counts.columns,
             *[

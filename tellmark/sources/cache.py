@@ -32,7 +32,12 @@ def score_with_cache(
     spark = df.sparkSession
     misses = cache_misses(df, read_if_present(spark, cache_path))
     score(misses).select("hash", "payload").write.mode("append").parquet(cache_path)
-    # A hash is written once; the grouping guards against two writers racing.
-    cache = spark.read.parquet(cache_path).groupBy("hash").agg(F.min("payload").alias("payload"))
     keyed = df.withColumn("hash", content_hash(F.col("text")))
+    # Only asked-for hashes leave the scan. A hash is written once; the grouping guards
+    # against two writers racing.
+    asked = keyed.select("hash").filter("hash is not null").distinct()
+    cache = (
+        spark.read.parquet(cache_path).join(asked, "hash", "left_semi")
+        .groupBy("hash").agg(F.min("payload").alias("payload"))
+    )
     return keyed.join(cache, "hash", "left").drop("hash")

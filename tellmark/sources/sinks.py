@@ -7,6 +7,9 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from tellmark import schema
 
 
+NULL_MARK = "\\N"  # tells missing from empty text in CSV
+
+
 def write_table(df: DataFrame, path: str, partition_by: list[str] | None = None, mode: str = "overwrite") -> None:
     writer = df.write.mode(mode)
     (writer.partitionBy(*partition_by) if partition_by else writer).parquet(path)
@@ -17,7 +20,7 @@ def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     (
         df.write.mode(mode).option("header", True)
         .option("quote", '"').option("escape", '"').option("quoteAll", True)
-        .option("emptyValue", "").option("ignoreLeadingWhiteSpace", False)
+        .option("nullValue", NULL_MARK).option("emptyValue", "").option("ignoreLeadingWhiteSpace", False)
         .option("ignoreTrailingWhiteSpace", False).csv(path)
     )
 

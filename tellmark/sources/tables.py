@@ -4,6 +4,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from tellmark import lexicon as L, schema
+from tellmark.sources.sinks import NULL_MARK
 
 # Role of a split file by its name; the first rule that fits wins.
 SPLIT_RULES = [("train", "train"), ("val", "validation"), ("heldout", "heldout"), ("held_out", "heldout"), ("test", "test")]
@@ -28,7 +29,7 @@ def read_reviews_csv(spark: SparkSession, path: str, fields: T.StructType = sche
     return (
         spark.read.schema(fields)
         .option("header", True).option("multiLine", True)
-        .option("quote", '"').option("escape", '"').option("lineSep", "\n")
+        .option("quote", '"').option("escape", '"').option("lineSep", "\n").option("nullValue", NULL_MARK)
         .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
         .csv(path)
     )
