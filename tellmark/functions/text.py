@@ -38,8 +38,9 @@ def words(text: Column) -> Column:
 
 
 def token_count(text: Column) -> Column:
-    """Number of blank-separated tokens (runs of non-blank characters)."""
-    return F.regexp_count(text, F.lit(TOKEN))
+    """Number of blank-separated tokens: one more than the blank runs between them."""
+    edges = F.substring(text, 1, 1).rlike(L.WS).cast("int") + F.substring(text, -1, 1).rlike(L.WS).cast("int")
+    return F.when(F.length(text) == 0, 0).otherwise(F.regexp_count(text, F.lit(BLANKS)) + 1 - edges)
 
 
 def tokens(text: Column) -> Column:
