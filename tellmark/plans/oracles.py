@@ -1,6 +1,8 @@
 """The same results as plain SQL over the same tables, for checking."""
 from __future__ import annotations
 
+import re
+
 from tellmark import lexicon as L
 from tellmark.operators.evaluate import thresholds
 from tellmark.plans.queries import HELD_OUT, MODELS, SCORE
@@ -275,8 +277,6 @@ from documents d left join best on d.doc_id = best.review_id"""
 # --- reasons -----------------------------------------------------------------------------------
 
 def wording(template: str, value: str, norm: float) -> str:
-    import re
-
     parts = []
     for text, name, spec in re.findall(r"([^{]*)(?:\{(v|n):([^}]*)\})?", template):
         if text:

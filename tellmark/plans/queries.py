@@ -1,6 +1,7 @@
 """Every operator as a query over the given tables: name -> (spark, sf_dir) -> DataFrame."""
 from __future__ import annotations
 
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from tellmark import lexicon as L, schema
@@ -39,6 +40,10 @@ def reviews(spark: SparkSession, sf: str) -> DataFrame:
     return tables.driver_reviews(spark, sf)
 
 
+def texts(spark: SparkSession, sf: str) -> DataFrame:
+    return tables.driver_texts(spark, sf)
+
+
 def documents(spark: SparkSession, sf: str) -> DataFrame:
     return tables.driver_documents(spark, sf)
 
@@ -54,7 +59,8 @@ def labelled(spark: SparkSession, sf: str) -> DataFrame:
 
 def scored(spark: SparkSession, sf: str) -> DataFrame:
     """Labelled reviews with style features, one of which is the score, as a stored table."""
-    wide = style.style_features(labelled(spark, sf))
+    wide = style.style_features(texts(spark, sf)).drop("text")
+    wide = tables.with_labels(wide, sf).filter("label is not null")
     return stored(wide.select("review_id", "_model", "label", *L.TEXT_STYLE_FEATURES), "scored")
 
 
@@ -89,7 +95,7 @@ def conform(spark, sf):
 
 @query
 def feature_columns(spark, sf):
-    wide = style.style_features(reviews(spark, sf))
+    wide = style.style_features(texts(spark, sf))
     return wide.select("review_id", *tables.feature_columns(wide))
 
 
@@ -131,22 +137,22 @@ def metadata_round_trip(spark, sf):
 
 @query
 def filter_refusals(spark, sf):
-    return clean.filter_refusals(reviews(spark, sf)).select("review_id", "text")
+    return clean.filter_refusals(texts(spark, sf)).select("review_id", "text")
 
 
 @query
 def strip_wrappers(spark, sf):
-    return clean.strip_wrappers(reviews(spark, sf)).select("review_id", "text")
+    return clean.strip_wrappers(texts(spark, sf)).select("review_id", "text")
 
 
 @query
 def dedupe_text(spark, sf):
-    return clean.dedupe_text(clean.strip_wrappers(reviews(spark, sf))).select("review_id", "text")
+    return clean.dedupe_text(clean.strip_wrappers(texts(spark, sf))).select("review_id", "text")
 
 
 @query
 def filter_word_count(spark, sf):
-    return clean.filter_word_count(reviews(spark, sf)).select("review_id")
+    return clean.filter_word_count(texts(spark, sf)).select("review_id")
 
 
 @query
@@ -156,12 +162,12 @@ def clean_reviews(spark, sf):
 
 @query
 def clean_report(spark, sf):
-    return clean.clean_report(reviews(spark, sf))
+    return clean.clean_report(texts(spark, sf))
 
 
 @query
 def holdout_generator(spark, sf):
-    held, pool = split.holdout_generator(reviews(spark, sf), HELD_OUT)
+    held, pool = split.holdout_generator(texts(spark, sf), HELD_OUT)
     return held.select("review_id", F.lit("heldout").alias("role")).unionByName(
         pool.select("review_id", F.lit("pool").alias("role"))
     )
@@ -178,16 +184,16 @@ def combine(spark, sf):
 
 @query
 def split_reviews(spark, sf):
-    return split.split_reviews(reviews(spark, sf)).select("review_id", "split")
+    return split.split_reviews(texts(spark, sf)).select("review_id", "split")
 
 
 @query
 def split_sizes(spark, sf):
-    return profile.split_sizes(split.split_reviews(reviews(spark, sf)))
+    return profile.split_sizes(split.split_reviews(texts(spark, sf)))
 
 
 def _quota(spark, sf):
-    rows = reviews(spark, sf).select("_model", "review_id")
+    rows = texts(spark, sf).select("_model", "review_id")
     twice = (rows.agg(F.count("*").alias("n")).scalar() * 2)
     return split.generation_quota(rows, rows.select("_model").distinct(), twice)
 
@@ -209,7 +215,7 @@ def accept_generated(spark, sf):
 
 @query
 def strip_preamble(spark, sf):
-    return clean.strip_preamble(reviews(spark, sf).select("review_id", "text"))
+    return clean.strip_preamble(texts(spark, sf).select("review_id", "text"))
 
 
 @query
@@ -219,7 +225,7 @@ def strip_preamble_turns(spark, sf):
 
 @query
 def validate_reviews(spark, sf):
-    return clean.validate_reviews(reviews(spark, sf), L.SHORTEST_REQUEST).select("review_id", "reject_reason")
+    return clean.validate_reviews(texts(spark, sf), L.SHORTEST_REQUEST).select("review_id", "reject_reason")
 
 
 # --- profiling ---------------------------------------------------------------------------
@@ -231,7 +237,7 @@ def profile_shape(spark, sf):
 
 @query
 def value_counts(spark, sf):
-    return profile.value_counts(reviews(spark, sf), "category")
+    return profile.value_counts(texts(spark, sf), "category")
 
 
 @query
@@ -241,7 +247,7 @@ def value_shares(spark, sf):
 
 @query
 def describe_words(spark, sf):
-    stats = profile.describe_words(reviews(spark, sf))
+    stats = profile.describe_words(texts(spark, sf))
     return stats.withColumns({c: F.round(c, 6) for c in ("mean", "std")})
 
 
@@ -253,7 +259,8 @@ def mean_chars_by_label(spark, sf):
 @query
 def feature_means_by_label(spark, sf):
     feats = L.TEXT_STYLE_FEATURES + L.TEXT_RULE_FEATURES
-    means = profile.feature_means_by_label(detect.text_features(reviews(spark, sf)), feats)
+    wide = detect.text_features(texts(spark, sf)).select("review_id", *feats)
+    means = profile.feature_means_by_label(tables.with_labels(wide, sf), feats)
     return means.select("feature", *[F.round(c, 6).alias(c) for c in ("label_0", "label_1", "diff")])
 
 
@@ -269,7 +276,7 @@ def impute_median(spark, sf):
 
 @query
 def fit_medians(spark, sf):
-    wide = stored(style.style_features(reviews(spark, sf)).select("review_id", *L.TEXT_STYLE_FEATURES), "features")
+    wide = stored(style.style_features(texts(spark, sf)).select("review_id", *L.TEXT_STYLE_FEATURES), "features")
     return profile.fit_medians(wide, L.TEXT_STYLE_FEATURES)
 
 
@@ -277,21 +284,21 @@ def fit_medians(spark, sf):
 
 @query
 def style_features(spark, sf):
-    return style.style_features(reviews(spark, sf).select("review_id", "text")).drop("text")
+    return style.style_features(texts(spark, sf).select("review_id", "text")).drop("text")
 
 
 @query
 def rule_features(spark, sf):
-    return rules.rule_features(reviews(spark, sf).select("review_id", "text", "rating")).drop("text", "rating")
+    return rules.rule_features(texts(spark, sf).select("review_id", "text", "rating")).drop("text", "rating")
 
 
 @query
 def fit_bigram_lm(spark, sf):
-    return bigram.fit_bigram_lm(reviews(spark, sf))
+    return bigram.fit_bigram_lm(texts(spark, sf))
 
 
 def _perplexity(spark, sf):
-    rows = reviews(spark, sf)
+    rows = texts(spark, sf)
     return bigram.perplexity_features(rows, bigram.fit_bigram_lm(rows))
 
 
@@ -393,15 +400,13 @@ def score_with_model(spark, sf):
             ["review_id", "prob"]
         ]
 
-    rows = reviews(spark, sf).select("review_id", "text")
+    rows = texts(spark, sf).select("review_id", "text")
     return base_model.score_with_model(rows, load, "review_id bigint, prob double")
 
 
 @query
 def assemble_features(spark, sf):
-    from pyspark.ml.functions import vector_to_array
-
-    wide = detect.text_features(reviews(spark, sf))
+    wide = detect.text_features(texts(spark, sf))
     ready = fusion.assemble_features(wide, L.TEXT_STYLE_FEATURES + L.TEXT_RULE_FEATURES)
     values = vector_to_array("features")
     return ready.select(
@@ -451,7 +456,7 @@ def explain(spark, sf):
 
 @query
 def classify_reviews(spark, sf):
-    wide = style.style_features(reviews(spark, sf))
+    wide = style.style_features(texts(spark, sf))
     return verdict.classify_reviews(wide, SCORE).select(
         "review_id", "reject_reason", "classification", "confidence", "display_label"
     )
@@ -515,8 +520,8 @@ def quality_gates(spark, sf):
 # --- explanations --------------------------------------------------------------------------------------
 
 def _given_contributions(spark, sf):
-    """Text features with a made-up probability and contributions, the same in SQL."""
-    rows = detect.text_features(reviews(spark, sf))
+    """Text features, one as the probability and all as contributions, which SQL can follow."""
+    rows = detect.text_features(texts(spark, sf))
     feats = L.TEXT_STYLE_FEATURES + L.TEXT_RULE_FEATURES
     parts = F.array(*[F.col(f) / (F.col(f) + 1.0) - F.lit(0.02) for f in feats])
     rows = rows.withColumn("prob", F.col(SCORE)).withColumn("contributions", parts)
@@ -526,14 +531,14 @@ def _given_contributions(spark, sf):
 
 @query
 def verdicts(spark, sf):
-    wide = style.style_features(reviews(spark, sf))
+    wide = style.style_features(texts(spark, sf))
     return wide.select("review_id", verdict.verdict(F.col(SCORE), 0.7).alias("verdict"))
 
 
 @query
 def rule_callouts(spark, sf):
     rows = verdict.rule_callouts(
-        rules.rule_features(reviews(spark, sf)).withColumn("rule_near_duplicate", F.lit(0.0))
+        rules.rule_features(texts(spark, sf)).withColumn("rule_near_duplicate", F.lit(0.0))
     )
     return rows.select("review_id", F.array_join("callouts", "\n").alias("callouts"))
 
@@ -557,7 +562,7 @@ def plain_summary(spark, sf):
 
 @query
 def token_offsets(spark, sf):
-    return base_model.token_offsets(reviews(spark, sf)).groupBy("review_id").agg(
+    return base_model.token_offsets(texts(spark, sf)).groupBy("review_id").agg(
         F.count("*").alias("n"), F.sum("start").alias("starts"), F.sum("end").alias("ends"),
         F.max("token").alias("last"),
     )
@@ -566,7 +571,7 @@ def token_offsets(spark, sf):
 @query
 def top_spans(spark, sf):
     """Longer words score higher, words of three letters and less negatively."""
-    rows = base_model.token_offsets(reviews(spark, sf))
+    rows = base_model.token_offsets(texts(spark, sf))
     return verdict.top_spans(rows.withColumn("score", (F.length("text") - 3) / 10.0)).select(
         "review_id", F.col("rank").cast("bigint").alias("rank"), F.col("start").cast("bigint").alias("start"),
         F.col("end").cast("bigint").alias("end"), "text", "score",

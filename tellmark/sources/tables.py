@@ -90,21 +90,38 @@ def driver_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return docs.select(F.col("doc_id").alias("review_id"), "text")
 
 
+def _register(spark: SparkSession, sf_dir: str) -> None:
+    documents = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text", "lang", "source")
+    spread(documents, "doc_id").createOrReplaceTempView("documents")
+    spark.read.parquet(f"{sf_dir}/labels.parquet").createOrReplaceTempView("labels")
+
+
 def driver_reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The review view over `documents` and `labels`.
 
     Every document is one review. The opening words are put in front of the
     whole text so that the phrase rules have something to find.
     """
-    documents = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text", "lang", "source")
-    spread(documents, "doc_id").createOrReplaceTempView("documents")
-    spark.read.parquet(f"{sf_dir}/labels.parquet").createOrReplaceTempView("labels")
+    _register(spark, sf_dir)
     return spark.sql(REVIEWS_SQL)
 
 
-REVIEWS_SQL = """
+def driver_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same reviews without labels, for work that needs none: texts are not shuffled
+    just to meet their label."""
+    _register(spark, sf_dir)
+    return spark.sql(TEXTS_SQL)
+
+
+def with_labels(df: DataFrame, sf_dir: str) -> DataFrame:
+    """Append `label`, best done once texts have been reduced to features."""
+    labels = df.sparkSession.read.parquet(f"{sf_dir}/labels.parquet")
+    return df.join(labels.select(F.col("doc_id").alias("review_id"), F.col("quality").alias("label")), "review_id", "left")
+
+
+TEXTS_SQL = """
 select d.doc_id as review_id, d.lang as category, d.source as _model,
- cast(d.doc_id % 5 + 1 as double) as rating, l.quality as label,
+ cast(d.doc_id % 5 + 1 as double) as rating,
  concat(case d.doc_id % 16
   when 1 then '5/5 stars! ' when 2 then 'As a busy parent, I was blown away by it. '
   when 3 then '**Pros:** light' when 4 then 'Great, amazing and perfect! '
@@ -112,5 +129,6 @@ select d.doc_id as review_id, d.lang as category, d.source as _model,
   when 8 then 'As an AI I cannot say. ' when 9 then 'Perhaps it is quite good, I love mine. '
   when 10 then '★★★★★ ' when 11 then 'Sure, here is it: ' when 12 then 'Size 42 by 7. '
   else '' end, d.text) as text
-from documents d left join labels l on d.doc_id = l.doc_id
+from documents d
 """
+REVIEWS_SQL = f"select t.*, l.quality as label from ({TEXTS_SQL}) t left join labels l on t.review_id = l.doc_id"
