@@ -1,9 +1,11 @@
 """The registered queries of this package and the SQL they are checked with."""
 from __future__ import annotations
 
-from tellmark.llm import exact_dedup
+from tellmark.llm import exact_dedup, fingerprint, pieces
 
 QUERIES = {
+    "op8_pieces": pieces.query,
+    "op9_fingerprint": fingerprint.query,
     "op10_exact_dedup": exact_dedup.query,
 }
 ORACLES = {
