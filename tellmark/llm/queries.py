@@ -1,9 +1,10 @@
 """The registered queries of this package and the SQL they are checked with."""
 from __future__ import annotations
 
-from tellmark.llm import exact_dedup, fingerprint, ngram_join, pieces
+from tellmark.llm import exact_dedup, fingerprint, ngram_join, pieces, toxicity
 
 QUERIES = {
+    "op1_toxicity": toxicity.query,
     "op3_ngram_join": ngram_join.query,
     "op8_pieces": pieces.query,
     "op9_fingerprint": fingerprint.query,
