@@ -12,8 +12,8 @@ from __future__ import annotations
 
 import functools
 import re
+from array import array
 from collections.abc import Iterator
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -34,17 +34,19 @@ class Vocabulary:
     """Pieces of a model, and the forward pass over sorted words."""
 
     def __init__(self, pieces: list[str], scores: list[float], kinds: str):
-        self.pieces, self.kinds = pieces, kinds
-        self.ids = {p: i for i, (p, k) in enumerate(zip(pieces, kinds)) if k == "n"}
-        self.scores = scores
+        self.pieces, self.scores, self.kinds = pieces, scores, kinds
+        self.ids = {p: i for i, (p, k) in enumerate(zip(pieces, kinds)) if k in "nx"}
         self.bytes = {int(p[3:5], 16): i for i, (p, k) in enumerate(zip(pieces, kinds)) if k == "b"}
         self.unknown = kinds.index("u")
-        self.longest = max(map(len, self.ids))
         self.lengths = [len(p) for p in pieces]
-        self.text = [p.replace(MARK, " ") if k == "n" else "" for p, k in zip(pieces, kinds)]
-        self.known: dict[str, list[int]] = {}
-        self.fits: dict[tuple[int, int], bool] = {}
-        self.whole: dict[int, bool] = {}
+        # Every ending of a piece, with the piece's id where the ending is a whole piece, else -1.
+        self.endings = dict.fromkeys((p[i:] for p in self.ids for i in range(len(p))), -1)
+        self.endings.update({p: i for p, i in self.ids.items() if kinds[i] == "n"})
+        self.raw = [
+            bytes([int(p[3:5], 16)]) if k == "b" else p.replace(MARK, " ").encode() if k in "nx" else b"" for p, k in zip(pieces, kinds)]
+        self.known: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
+        self.fits: dict[int, bool] = {}
 
     @classmethod
     def read(cls, path: str) -> Vocabulary:
@@ -52,7 +54,10 @@ class Vocabulary:
         m = SentencePieceProcessor(model_file=path)
         n = m.vocab_size()
         kind = lambda i: "b" if m.is_byte(i) else "u" if m.is_unknown(i) else "c" if m.is_control(i) or m.is_unused(i) else "n"
-        return cls([m.id_to_piece(i) for i in range(n)], [m.get_score(i) for i in range(n)], "".join(map(kind, range(n))))
+        own = cls([m.id_to_piece(i) for i in range(n)], [m.get_score(i) for i in range(n)], "".join(map(kind, range(n))))
+        # Marked x: pieces whose own text is merged into something else, so that no text gives them.
+        kinds = [k if k != "n" or own.merged(p) == [p] else "x" for p, k in zip(own.pieces, own.kinds)]
+        return cls(own.pieces, own.scores, "".join(kinds))
 
     def __reduce__(self):
         return Vocabulary, (self.pieces, self.scores, self.kinds)
@@ -70,26 +75,17 @@ class Vocabulary:
                 return parts
             parts[at : at + 2] = [parts[at] + parts[at + 1]]
 
-    def stands(self, j: int) -> bool:
-        """Whether the piece's own text is merged into just this piece."""
-        ok = self.whole.get(j)
-        if ok is None:
-            ok = self.whole[j] = self.merged(self.pieces[j]) == [self.pieces[j]]
-        return ok
-
     def follows(self, i: int, j: int) -> bool:
         """Whether pieces i and j stay apart when their texts stand next to each other."""
-        ok = self.fits.get((i, j))
-        if ok is None:
-            a, b = self.pieces[i], self.pieces[j]
-            ok = self.fits[i, j] = self.merged(a + b) == [a, b]
-            if len(self.fits) > 4 * CACHED:
-                self.fits.clear()
+        a, b = self.pieces[i], self.pieces[j]
+        if len(self.fits) > 8 * CACHED:
+            self.fits.clear()
+        ok = self.fits[i << 32 | j] = self.merged(a + b) == [a, b]
         return ok
 
     def encode_words(self, words: list[str]) -> None:
-        """Add distinct words, sorted, to `known`."""
-        ids, longest, fits = self.ids, self.longest, self.fits
+        """Add distinct words, sorted, to `known`, each with its ids as 32-bit numbers."""
+        endings, lengths, fits, follows, known = self.endings.get, self.lengths, self.fits.get, self.follows, self.known
         last, before = [-1], ""  # per prefix length its last piece; -1: none, or a character without piece
         for word in words:
             shared, most = 0, min(len(word), len(before))
@@ -97,14 +93,21 @@ class Vocabulary:
                 shared += 1
             del last[shared + 1 :]
             for end in range(shared + 1, len(word) + 1):
-                found = -1
-                for start in range(max(0, end - longest), end):
-                    j = ids.get(word[start:end])
-                    if j is not None and self.stands(j):
+                found, start = -1, end - 1
+                while start >= 0:
+                    j = endings(word[start:end])
+                    if j is None:
+                        break
+                    if j >= 0:
                         i = last[start]
-                        if i < 0 or (fits.get((i, j)) if (i, j) in fits else self.follows(i, j)):
+                        if i < 0:
+                            found = j
+                            break
+                        ok = fits(i << 32 | j)
+                        if follows(i, j) if ok is None else ok:
                             found = j
                             break
+                    start -= 1
                 last.append(found)
             before, end, out = word, len(word), []
             while end:
@@ -115,9 +118,9 @@ class Vocabulary:
                     end -= 1
                 else:
                     out.append(j)
-                    end -= self.lengths[j]
+                    end -= lengths[j]
             out.reverse()
-            self.known[word] = out
+            known[word] = array("i", out).tobytes()
 
     def segments(self, text: str) -> Iterator[list[str]]:
         """The marked words, some million characters at a time."""
@@ -131,16 +134,18 @@ class Vocabulary:
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         """Ids of each text; the words of all texts are encoded together."""
-        if len(self.known) > CACHED:
-            self.known.clear()
         parts: list[list[np.ndarray]] = [[] for _ in texts]
         pending, size = [], 0
 
         def settle() -> None:
-            new = sorted(set().union(*[w for _, w in pending]).difference(self.known))
-            self.encode_words(new)
+            if len(self.known) > CACHED:  # words not met again since the last time are forgotten
+                self.known, self.older = {}, self.known
+            new = set().union(*[w for _, w in pending]).difference(self.known)
+            again = new.intersection(self.older)
+            self.known.update((w, self.older[w]) for w in again)
+            self.encode_words(sorted(new - again))
             for k, words in pending:
-                parts[k].append(np.fromiter(chain.from_iterable(map(self.known.__getitem__, words)), np.int32))
+                parts[k].append(np.frombuffer(b"".join(map(self.known.__getitem__, words)), np.int32))
             pending.clear()
 
         for k, text in enumerate(texts):
@@ -156,11 +161,7 @@ class Vocabulary:
 
     def decode(self, ids: list[int]) -> str:
         """Text of the ids: bytes are joined and read as UTF-8, control ids give nothing."""
-        if "b" not in {self.kinds[i] for i in set(ids)}:
-            text = "".join(map(self.text.__getitem__, ids))
-        else:
-            raw = b"".join([bytes([int(self.pieces[i][3:5], 16)]) if self.kinds[i] == "b" else self.text[i].encode() for i in ids])
-            text = raw.decode("utf-8", "replace")
+        text = b"".join(map(self.raw.__getitem__, ids)).decode("utf-8", "replace")
         return text[1:] if text.startswith(" ") else text
 
 
@@ -186,7 +187,9 @@ def _decode(batches: Iterator[pa.RecordBatch], shared) -> Iterator[pa.RecordBatc
     for batch in batches:
         for start in range(0, batch.num_rows, 1000):
             part = batch.slice(start, 1000)
-            text = [None if x is None else vocabulary.decode(x) for x in part.column(part.num_columns - 1).to_pylist()]
+            ids = part.column(part.num_columns - 1)
+            values, ends = ids.flatten().to_numpy(), np.cumsum([n or 0 for n in ids.value_lengths().to_pylist()])
+            text = [None if null else vocabulary.decode(x.tolist()) for x, null in zip(np.split(values, ends[:-1]), ids.is_null().to_pylist())]
             yield pa.RecordBatch.from_arrays([*part.columns[:-1], pa.array(text, pa.string())], names=[*part.schema.names[:-1], "decoded"])
 
 
