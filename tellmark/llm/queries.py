@@ -1,15 +1,18 @@
 """The registered queries of this package and the SQL they are checked with."""
 from __future__ import annotations
 
-from tellmark.llm import exact_dedup, fingerprint, ngram_join, pieces, toxicity
+from tellmark.llm import exact_dedup, fingerprint, mixing, ngram_join, pieces, sharding, toxicity
 
 QUERIES = {
     "op1_toxicity": toxicity.query,
+    "op2_sharding": sharding.query,
     "op3_ngram_join": ngram_join.query,
+    "op5_mixing": mixing.query,
     "op8_pieces": pieces.query,
     "op9_fingerprint": fingerprint.query,
     "op10_exact_dedup": exact_dedup.query,
 }
 ORACLES = {
+    "op5_mixing": mixing.ORACLE,
     "op10_exact_dedup": exact_dedup.ORACLE,
 }
