@@ -1,10 +1,11 @@
 """Toxicity by the nearest labelled examples.
 
 A text is a TF-IDF vector over the first letters of its words; idf comes from all documents. The
-labelled examples form an inverted index that is cut into blocks of similar examples. For each
-block and term the largest weight is kept: the query's product with these maxima bounds every
-cosine in the block, so blocks that cannot hold one of the k nearest are never opened, and the k
-nearest are exact. Their labels vote, weighted by nearness; an isotonic fit on the examples' own
+labelled examples form an inverted index that is cut into blocks of similar examples. The few terms
+that most examples hold are kept as full columns and multiplied for many queries at once. For each
+block and other term the largest weight is kept: with these maxima every cosine in the block is
+bounded, so blocks that cannot hold one of the k nearest are never opened, and the k nearest are
+exact. Their labels vote, weighted by nearness; an isotonic fit on the examples' own
 leave-one-out votes turns the vote into a probability. The nearest examples are the evidence.
 """
 from __future__ import annotations
@@ -22,9 +23,11 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from tellmark.llm.common import documents, present, without
 
 #: Labelled rows used for the fit, of each class; a seeded hash chooses. Bounds the index.
-EXAMPLES = 3000
+EXAMPLES = 2000
 NEAREST = 16
 BLOCK = 64
+#: Terms kept as full columns.
+COLUMNS = 256
 EVIDENCE = 3
 THRESHOLD = 0.3
 TERM = re.compile(r"([^\W\d_]{1,4})[^\W\d_]*")
@@ -90,6 +93,8 @@ class Index:
     rows: np.ndarray
     values: np.ndarray
     most: np.ndarray
+    slots: np.ndarray
+    columns: np.ndarray
     prior: float
     steps: tuple[np.ndarray, np.ndarray]
 
@@ -115,14 +120,25 @@ class Index:
         places = np.arange(size.sum()) + np.repeat(first - before, size)
         into += np.bincount(self.rows[places], self.values[places] * np.repeat(w, size), len(into))
 
-    def nearest(self, counts: Counter, k: int, leave_out: int = -1) -> tuple[np.ndarray, np.ndarray]:
-        """(examples, cosines) of the k nearest with a positive cosine; equal ones by smaller id."""
-        at, weights = self.vector(counts)
+    def column_part(self, vectors: list[tuple[np.ndarray, np.ndarray]]) -> np.ndarray:
+        """What the terms kept as full columns add to each query's cosine with each example."""
+        queries = np.zeros((len(vectors), len(self.columns)))
+        for row, (at, weights) in zip(queries, vectors):
+            slots = self.slots[at]
+            row[slots[slots >= 0]] = weights[slots >= 0]
+        return queries @ self.columns
+
+    def nearest(self, vector: tuple[np.ndarray, np.ndarray], k: int, cosines: np.ndarray, leave_out: int = -1) -> tuple[np.ndarray, np.ndarray]:
+        """(examples, cosines) of the k nearest with a positive cosine; equal ones by smaller id.
+        `cosines` comes in with the part of the columns, and is filled in place."""
+        at, weights = vector
         if not len(at):
             return np.empty(0, np.int64), np.empty(0)
-        bounds = self.most[:, at] @ weights + 1e-9
+        other = self.slots[at] < 0
+        at, weights = at[other], weights[other]
+        ends = np.arange(0, len(cosines), BLOCK)
+        bounds = np.maximum.reduceat(cosines, ends) + self.most[:, at] @ weights + 1e-9
         order = np.argsort(-bounds, kind="stable")
-        cosines = np.zeros(len(self.ids))
         first = order[: 2 + k // BLOCK]
         self._open(first, at, weights, cosines)
         if leave_out >= 0:
@@ -138,19 +154,23 @@ class Index:
             near = np.flatnonzero(cosines >= np.partition(cosines, -k)[-k] - 1e-12)
         else:
             near = np.arange(len(cosines))
-        near = near[cosines[near] > 0]
+        near = near[cosines[near] > 1e-12]
         near = near[np.lexsort((self.ids[near], -np.round(cosines[near], 12)))][:k]
         return near, cosines[near]
 
     def vote(self, near: np.ndarray, cosines: np.ndarray) -> float:
         return float((cosines * self.labels[near]).sum() / cosines.sum())
 
-    def score(self, counts: Counter, k: int = NEAREST) -> tuple[float, np.ndarray, np.ndarray]:
+    def scores(self, counts: list[Counter], k: int = NEAREST) -> list[tuple[float, np.ndarray, np.ndarray]]:
         """A probability, and the neighbours it rests on; the base rate where there are none."""
-        near, cosines = self.nearest(counts, k)
-        if not len(near):
-            return self.prior, near, cosines
-        return float(np.interp(self.vote(near, cosines), *self.steps)), near, cosines
+        if not len(self.ids):
+            return [(self.prior, np.empty(0, np.int64), np.empty(0))] * len(counts)
+        out, vectors = [], [self.vector(c) for c in counts]
+        for vector, cosines in zip(vectors, self.column_part(vectors)):
+            near, cosines = self.nearest(vector, k, cosines)
+            p = float(np.interp(self.vote(near, cosines), *self.steps)) if len(near) else self.prior
+            out.append((p, near, cosines))
+        return out
 
 
 def _blocks(weights: list[tuple[np.ndarray, np.ndarray]], n_terms: int) -> np.ndarray:
@@ -187,7 +207,7 @@ def build_index(postings: list[tuple[int, int, str, int]], df: dict[str, int], n
     for i, y, t, n in postings:
         examples.setdefault(i, (y, Counter()))[1].update({t: n} if t else {})
     ids = np.array(sorted(examples), np.int64)
-    index = Index(terms, idf, ids, np.array([examples[i][0] for i in ids], float), *[np.empty(0)] * 4,
+    index = Index(terms, idf, ids, np.array([examples[i][0] for i in ids], float), *[np.empty(0)] * 6,
                   prior=totals.get(1, 0) / max(1, sum(totals.values())), steps=(np.array([0.0, 1.0]), np.array([0.0, 1.0])))
     if not len(ids):
         return index
@@ -197,6 +217,13 @@ def build_index(postings: list[tuple[int, int, str, int]], df: dict[str, int], n
     block = np.repeat(np.arange(len(ids)) // BLOCK, [len(vectors[i][0]) for i in order])
     row = np.repeat(np.arange(len(ids)), [len(vectors[i][0]) for i in order])
     at, value = (np.concatenate([vectors[i][j] for i in order]) for j in (0, 1))
+    common = np.argsort(-np.bincount(at, minlength=len(terms)), kind="stable")[:COLUMNS]
+    index.slots = np.full(len(terms), -1, np.int64)
+    index.slots[common] = np.arange(len(common))
+    index.columns = np.zeros((len(common), len(ids)))
+    full = index.slots[at] >= 0
+    index.columns[index.slots[at[full]], row[full]] = value[full]
+    block, row, at, value = block[~full], row[~full], at[~full], value[~full]
     n_blocks = (len(ids) - 1) // BLOCK + 1
     cell = block * len(terms) + at
     by_cell = np.argsort(cell, kind="stable")
@@ -206,8 +233,9 @@ def build_index(postings: list[tuple[int, int, str, int]], df: dict[str, int], n
     np.maximum.at(index.most, (block, at), value)
 
     votes, truth, weight = [], [], []
-    for i, id_ in enumerate(index.ids.tolist()):
-        near, cosines = index.nearest(examples[id_][1], k, leave_out=i)
+    parts = (index.column_part([vectors[i] for i in order[s : s + 500]]) for s in range(0, len(order), 500))
+    for i, cosines in enumerate(row for part in parts for row in part):
+        near, cosines = index.nearest(vectors[order[i]], k, cosines, leave_out=i)
         y = int(index.labels[i])
         if len(near):
             votes.append(index.vote(near, cosines))
@@ -251,8 +279,8 @@ def _score(batches: Iterator[pa.RecordBatch], shared, k: int) -> Iterator[pa.Rec
         for start in range(0, batch.num_rows, 500):
             part = batch.slice(start, 500)
             scores, evidence = [], []
-            for text in part.column(part.num_columns - 1).to_pylist():
-                p, near, cosines = index.score(term_counts(text), k) if len(index.ids) else (index.prior, (), ())
+            counts = [term_counts(text) for text in part.column(part.num_columns - 1).to_pylist()]
+            for p, near, cosines in index.scores(counts, k):
                 scores.append(p)
                 evidence.append([{"id": int(index.ids[i]), "similarity": float(c), "label": int(index.labels[i])}
                                  for i, c in zip(near[:EVIDENCE], cosines[:EVIDENCE])])

@@ -28,7 +28,7 @@ def test_stages(spark, sf):
         assert set(after) <= set(before) and after_df.count() == len(after)
         if name == "toxicity":
             index = toxicity.fit_on_tables(spark, docs, sf)
-            assert set(after) == {i for i, r in before.items() if index.score(toxicity.term_counts(r.text))[0] < 0.3}
+            assert set(after) == {i for i, r in before.items() if index.scores([toxicity.term_counts(r.text)])[0][0] < 0.3}
             assert all(after[i] == before[i] for i in after)
         if name == "line dedup":
             first = {}

@@ -19,6 +19,7 @@ def examples(seed, n=300):
 
 def test_nearest_is_exact(monkeypatch):
     monkeypatch.setattr(tox, "BLOCK", 8)
+    monkeypatch.setattr(tox, "COLUMNS", 20)
     rows = examples(4)
     df = Counter(t for _, _, c in rows for t in c)
     postings = [(i, y, t, n) for i, y, c in rows for t, n in (c or {"": 0}).items()]
@@ -34,7 +35,7 @@ def test_nearest_is_exact(monkeypatch):
         q = vec(c)
         want = sorted(((-round(sum(x * e.get(t, 0.0) for t, x in q.items()), 10), i) for i, e in vectors))[:5]
         want = [(i, -s) for s, i in want if s < 0]
-        near, cos = index.nearest(c, 5)
+        near, cos = index.nearest(index.vector(c), 5, index.column_part([index.vector(c)])[0])
         assert np.allclose([s for _, s in want], cos)
         assert [i for i, _ in want] == index.ids[near].tolist()
 
