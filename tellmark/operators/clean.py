@@ -60,12 +60,14 @@ def filter_word_count(df: DataFrame, low: int = L.WORD_LIMITS[0], high: int = L.
 def clean_reviews(df: DataFrame, key: str = "review_id") -> DataFrame:
     """Refusals out, wrappers off, first copy of each text, 5 to 300 words.
 
-    All conditions are decided once, next to the text key; only (key, id) is
-    shuffled to find the first copies, and the rows are then picked by id.
+    All conditions are decided next to the text key; (key, id) is shuffled to find the
+    first copies, and of the texts only those that meet the conditions meet their id.
     """
     texts = df.select(key, is_refusal(F.col("text")).alias("refused"), unwrapped(F.col("text")).alias("text"))
     usable = ~F.col("refused") & _word_count_ok(F.col("text"), *L.WORD_LIMITS)
-    return strip_wrappers(df.join(_first_copies(texts, usable, key), key, "left_semi"))
+    # Rows that cannot stay are left out before the join, so their texts are not shuffled.
+    able = ~is_refusal(F.col("text")) & _word_count_ok(unwrapped(F.col("text")), *L.WORD_LIMITS)
+    return strip_wrappers(df.filter(able).join(_first_copies(texts, usable, key), key, "left_semi"))
 
 
 def clean_report(df: DataFrame) -> DataFrame:

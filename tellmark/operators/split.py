@@ -12,11 +12,11 @@ PLAN_BLOCK = 10_000
 
 
 def holdout_generator(df: DataFrame, model: str) -> tuple[DataFrame, DataFrame]:
-    """(held out, train pool): the rows of one generator and all others."""
+    """(held out, train pool): the rows of one generator and all others, also those without one."""
     cols = [c for c in SPLIT_COLUMNS if c in df.columns]
     return (
-        df.filter(F.col("_model") == model).select(*cols),
-        df.filter(F.col("_model") != model).select(*cols),
+        df.filter(F.col("_model").eqNullSafe(model)).select(*cols),
+        df.filter(~F.col("_model").eqNullSafe(model)).select(*cols),
     )
 
 
@@ -93,22 +93,23 @@ def generation_quota(df: DataFrame, models: DataFrame, target: int) -> DataFrame
 
 
 def prompt_plan(quota: DataFrame, seed: int = 42) -> DataFrame:
-    """One planned prompt per missing row of `quota` (_model, needed).
+    """One planned prompt per missing row of `quota` (_model, needed, and collected if known).
 
-    Every choice is read from a hash of (seed, model, i): reruns and resumed
-    runs give the same plan. A model that lacks very many rows is opened in
+    Every choice is read from a hash of (seed, model, i): reruns give the same plan, and a
+    resumed run goes on at i = collected, where the rows collected so far end. A model that lacks very many rows is opened in
     blocks which are spread over the cluster before they are expanded.
     """
+    done = F.coalesce("collected", F.lit(0)) if "collected" in quota.columns else F.lit(0)
     blocks = (
         quota.filter("needed > 0")
-        .select("_model", "needed", F.explode(F.sequence(F.lit(0), F.floor((F.col("needed") - 1) / PLAN_BLOCK))).alias("_block"))
+        .select("_model", "needed", done.cast("bigint").alias("_done"), F.explode(F.sequence(F.lit(0), F.floor((F.col("needed") - 1) / PLAN_BLOCK))).alias("_block"))
         .repartition("_model", "_block")
     )
     start = F.col("_block") * PLAN_BLOCK
     rows = blocks.select(
         "_model",
-        F.explode(F.sequence(start, F.least(start + PLAN_BLOCK, F.col("needed")) - 1)).alias("i"),
-    ).withColumn("_h", F.md5(F.concat_ws(":", F.lit(str(seed)), "_model", F.col("i").cast("string"))))
+        (F.explode(F.sequence(start, F.least(start + PLAN_BLOCK, F.col("needed")) - 1))).alias("i"), "_done",
+    ).select("_model", (F.col("i") + F.col("_done")).alias("i")).withColumn("_h", F.md5(F.concat_ws(":", F.lit(str(seed)), "_model", F.col("i").cast("string"))))
 
     def draw(slot: int) -> Column:
         return F.conv(F.substring("_h", slot * 5 + 1, 5), 16, 10).cast("bigint")

@@ -201,7 +201,7 @@ def prompt_plan() -> str:
     stars = [s for s, weight in L.STAR_WEIGHTS.items() for _ in range(weight)]
     low, high = L.TEMPERATURE
     return f"""with {REVIEWS}, {quota()},
-rows as (select _model, unnest(range(0, needed)) as i from quota where needed > 0),
+rows as (select _model, unnest(range(collected, collected + needed)) as i from quota where needed > 0),
 hashed as (select *, md5(concat_ws(':', '42', _model, i::varchar)) as h from rows),
 picked as (select _model, i::bigint as i, {pick(0, L.CATEGORIES)} as category, {pick(1, stars)}::int as rating,
   {pick(2, L.PERSONAS)} as persona, {pick(3, L.LENGTH_HINTS)} as length_hint, {pick(4, L.PROMPTS)} as template,
@@ -357,7 +357,7 @@ select (select count(*) from s) as raw, (select count(*) from s where refused) a
  (select count(*) from d where {WORDS_OK}) as kept""",
     "holdout_generator": f"with {REVIEWS} select review_id, case when _model = {q(HELD_OUT)} then 'heldout' else 'pool' end as role from reviews",
     "combine": f"""with {REVIEWS} select review_id, category, rating, text, label from reviews union all
-select -(conv_id * 1000 + turn), role, null, text, 1 from conversations""",
+select -1 - (conv_id * 1048576 + turn), role, null, text, 1 from conversations""",
     "split_reviews": f"with {REVIEWS}, {split_of('reviews')} select review_id, split from parts",
     "split_sizes": f"with {REVIEWS}, {split_of('reviews')} select split, count(*) as n from parts group by split",
     "generation_quota": f"with {REVIEWS}, {quota()} select * from quota",
@@ -431,6 +431,6 @@ qualify rank <= {L.TOP_SPANS}""",
 c as (select review_id, {SCORE} as p, {REJECT} end as reject_reason from style)
 select rules.*, reject_reason, case when reject_reason is null then case when p > 0.5 then 'ai' else 'human' end end as classification,
  case when reject_reason is null then round(case when p > 0.5 then p else 1 - p end, 4) end as confidence from rules join c using (review_id)""",
-    "dedupe_stream": "select distinct sha256(text) as text_hash from documents join events on event_id = doc_id",
+    "dedupe_stream": "select sha256(text) as text_hash, count(*) as copies from documents group by 1",
     "score_stream_cached": f"""select doc_id as review_id, '{{"words":' || len({tokens('text')}) || '}}' as payload from documents""",
 }

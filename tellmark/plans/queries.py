@@ -176,7 +176,7 @@ def holdout_generator(spark, sf):
 @query
 def combine(spark, sf):
     more = turns(spark, sf).select(
-        (-(F.col("conv_id") * 1000 + F.col("turn"))).alias("review_id"), F.col("role").alias("category"),
+        (-1 - (F.col("conv_id") * (1 << 20) + F.col("turn"))).alias("review_id"), F.col("role").alias("category"),
         "text", F.lit(1).alias("label"),
     )
     return split.combine(tables.to_schema(reviews(spark, sf), schema.REVIEWS), more)
@@ -587,9 +587,7 @@ def _stream(spark, sf):
 
 @query
 def score_stream(spark, sf):
-    rows = streams.score_stream(
-        _stream(spark, sf), lambda df: df.withColumn("prob", F.col(SCORE)), spark.sparkContext.defaultParallelism
-    )
+    rows = streams.score_stream(_stream(spark, sf), lambda df: df.withColumn("prob", F.col(SCORE)))
     out = streams.run_to_table(
         rows.select("review_id", *L.TEXT_RULE_FEATURES, "reject_reason", "classification", "confidence"),
         scratch_path(spark, "stream"), scratch_path(spark, "stream-state"),
@@ -599,14 +597,28 @@ def score_stream(spark, sf):
 
 @query
 def dedupe_stream(spark, sf):
-    """Documents arrive at the time of the event with their id."""
-    times = spark.read.parquet(f"{sf}/events.parquet").select(F.col("event_id").alias("review_id"), F.col("ts").cast("timestamp").alias("ts"))
-    arriving = _stream(spark, sf).join(times, "review_id")
-    out = streams.run_to_table(
-        streams.dedupe_stream(arriving, "ts", "3650 days").select("text_hash"),
+    """Each text once, in the order of arrival in several micro-batches, with its number of copies.
+
+    Documents arrive at the time of the event with their id; one without an event arrives at the
+    start of time. The watermark trails by a day, and a copy that arrives after it is caught by
+    joining what survived, which is one row a text.
+    """
+    times = spark.read.parquet(f"{sf}/events.parquet").groupBy(F.col("event_id").alias("doc_id")).agg(F.min("ts").cast("timestamp").alias("ts"))
+    docs = spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text").join(times, "doc_id", "left")
+    arrivals = scratch_path(spark, "arrivals")
+    at = F.coalesce("ts", F.lit(0).cast("timestamp"))
+    arriving = docs.select("doc_id", "text", at.alias("ts"))
+    cuts = arriving.agg(F.percentile_approx("ts", [0.25, 0.5, 0.75])).first()[0] or []
+    part = sum((F.col("ts") > F.lit(c)).cast("int") for c in cuts) if cuts else F.lit(0)
+    for i in range(len(cuts) + 1):  # one after the other, as files arrive
+        arriving.filter(part == i).coalesce(1).write.mode("append").parquet(arrivals)
+    stream = spark.readStream.schema("doc_id bigint, text string, ts timestamp").option("maxFilesPerTrigger", 1).parquet(arrivals)
+    first = streams.run_to_table(
+        streams.dedupe_stream(stream, "ts", "1 day").select("text_hash"),
         scratch_path(spark, "stream"), scratch_path(spark, "stream-state"),
     )
-    return out
+    copies = docs.groupBy(X.text_key(F.col("text")).alias("text_hash")).agg(F.count("*").alias("copies"))
+    return copies.join(first.distinct(), "text_hash", "left_semi")
 
 
 @query

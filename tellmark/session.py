@@ -33,10 +33,13 @@ def build_session(cores: int | str = "*", app: str = "tellmark", **conf: str) ->
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder the cluster names in spark.checkpoint.dir.
 
-    A temporary folder is set only where the setting is missing, as in tests.
+    Without the setting it is the context's checkpoint folder, and a temporary folder only on a
+    local master, as in tests; on a cluster each executor would have its own.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None)
+    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not root:
+        if spark.sparkContext.master.split("[")[0] != "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         root = tempfile.mkdtemp(prefix="tellmark-")
         spark.conf.set("spark.checkpoint.dir", root)
     if spark.sparkContext.getCheckpointDir() is None:

@@ -39,17 +39,17 @@ def load_splits(spark: SparkSession, path: str, fields: T.StructType | None = No
     """Read every parquet file below `path` with a `split` column taken from its name.
 
     Works for one file per split and for `split=...` folders. Raises when a
-    required split is missing; that check touches file names only.
+    required split is missing: it must have a file with at least one row.
     """
     df = spark.read.option("recursiveFileLookup", True).parquet(path)
-    names = {_split_of(p, path) for p in df.inputFiles()}
-    missing = [s for s in REQUIRED_SPLITS if s not in names]
-    if missing:
-        raise ValueError(f"missing required splits {missing} under {path}; found {sorted(filter(None, names))}")
     where = F.lower(_below(F.col("_metadata.file_path"), path))
     role = F.lit(None).cast("string")
     for mark, name in reversed(SPLIT_RULES):
         role = F.when(where.contains(mark), name).otherwise(role)
+    found = {r[0] for r in df.select(role.alias("split")).distinct().collect()}  # a handful of roles
+    missing = [s for s in REQUIRED_SPLITS if s not in found]
+    if missing:
+        raise ValueError(f"missing required splits {missing} under {path}; found {sorted(filter(None, found))}")
     df = df.select("*", role.alias("split"))
     return df if fields is None else df.select(*[F.col(f.name).cast(f.dataType) for f in fields], "split")
 
@@ -58,11 +58,6 @@ def _below(file_path, root: str):
     return F.substring_index(file_path, root.rstrip("/").rsplit("/", 1)[-1] + "/", -1)
 
 
-def _split_of(file_path: str, root: str) -> str | None:
-    low = file_path.rsplit(root.rstrip("/").rsplit("/", 1)[-1] + "/", 1)[-1].lower()
-    return next((name for mark, name in SPLIT_RULES if mark in low), None)
-
-
 def feature_columns(df: DataFrame, extra: tuple[str, ...] = ()) -> list[str]:
     """Every column that is neither bookkeeping nor the target."""
     skip = {*L.NON_FEATURES, "review_id", *extra}
@@ -74,25 +69,15 @@ def conform(df: DataFrame, keep: list[str]) -> DataFrame:
     return df.select(*[F.col(c).cast("int").alias(c) if c == "label" else F.col(c) for c in keep])
 
 
-def spread(df: DataFrame, key: str) -> DataFrame:
-    """Use all cores when a table comes in fewer file splits than there are cores.
-
-    Text features cost far more than a shuffle of a small table. A table of many
-    files is left alone.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores, key) if df.rdd.getNumPartitions() < cores else df
-
-
 def driver_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(review_id, text): the documents as they are."""
-    docs = spread(spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text"), "doc_id")
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
     return docs.select(F.col("doc_id").alias("review_id"), "text")
 
 
 def _register(spark: SparkSession, sf_dir: str) -> None:
     documents = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text", "lang", "source")
-    spread(documents, "doc_id").createOrReplaceTempView("documents")
+    documents.createOrReplaceTempView("documents")
     spark.read.parquet(f"{sf_dir}/labels.parquet").createOrReplaceTempView("labels")
 
 

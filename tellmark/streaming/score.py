@@ -18,16 +18,13 @@ def review_stream(spark: SparkSession, path: str, fields: T.StructType, glob: st
 
 
 def score_stream(
-    stream: DataFrame, scorer: Callable[[DataFrame], DataFrame], partitions: int | None = None
+    stream: DataFrame, scorer: Callable[[DataFrame], DataFrame],
 ) -> DataFrame:
     """Text features, score and label of arriving reviews; stateless.
 
     Cross-review features are 0, as for a review scored on its own. `scorer`
     appends `prob` (a model's transform, or an expression over the features).
-    `partitions` spreads batches that arrive as a few large files.
     """
-    if partitions:
-        stream = stream.repartition(partitions, "review_id")
     single = text_features(stream).select("*", *[F.lit(0.0).alias(f) for f in L.NEAR_DUPLICATE_FEATURES])
     return classify_reviews(scorer(single))
 

@@ -77,6 +77,10 @@ def test_quota_and_plan(spark):
     models = spark.createDataFrame([("a",), ("b",), ("c",)], "_model string")
     quota = split.generation_quota(df, models, 20)
     assert {r["_model"]: r["needed"] for r in quota.collect()} == {"a": 3, "b": 0, "c": 6}
+    whole = split.prompt_plan(spark.createDataFrame([("m", 0, 10)], "_model string, collected long, needed long"))
+    rest = split.prompt_plan(spark.createDataFrame([("m", 6, 4)], "_model string, collected long, needed long"))
+    rows = sorted(map(tuple, whole.collect()))
+    assert sorted(map(tuple, rest.collect())) == [r for r in rows if r[1] >= 6] and len(rows) == 10
     big = spark.createDataFrame([("m", 25_000)], "_model string, needed long")
     plan = split.prompt_plan(big, seed=3)
     assert plan.select("i").distinct().count() == 25_000
@@ -145,3 +149,9 @@ def test_medians_match_brute_force_with_a_hot_value(spark):
     got = {r["feature"]: r["median"] for r in profile.fit_medians(df, ["x", "y"]).collect()}
     rows = df.collect()
     assert got == {c: statistics.median(r[c] for r in rows) for c in ("x", "y")}
+
+
+def test_rows_without_generator_stay_in_the_pool(spark):
+    df = spark.createDataFrame([(1, "a"), (2, "b"), (3, None)], "review_id long, _model string")
+    held, pool = split.holdout_generator(df, "a")
+    assert [r.review_id for r in held.collect()] == [1] and sorted(r.review_id for r in pool.collect()) == [2, 3]
