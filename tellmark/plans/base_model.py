@@ -1,20 +1,26 @@
 """The base text classifier: TF-IDF over words and a logistic model, and its explanation."""
 from __future__ import annotations
 
+import re
+import sys
 from collections.abc import Callable, Iterable, Iterator
 
+import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression
-from pyspark.ml.feature import IDF, CountVectorizer, SQLTransformer
+from pyspark.ml.feature import IDF, HashingTF, SQLTransformer
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame, Window as W, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from tellmark import lexicon as L
 from tellmark.functions import text as X
 from tellmark.operators.evaluate import metrics_at
 from tellmark.session import stored
 
-VOCABULARY = 1 << 16  # upper bound of the model and of the weight table that is broadcast
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+WORD = re.compile(L.WORD)
+BUCKETS = 1 << 18  # hash buckets of the model; no word is dropped, words of a bucket share a weight
 
 
 def _tokenizer() -> SQLTransformer:
@@ -25,14 +31,14 @@ def _tokenizer() -> SQLTransformer:
 
 
 def fit_base_classifier(
-    train: DataFrame, validation: DataFrame, vocabulary: int = VOCABULARY, min_df: float = 1.0,
+    train: DataFrame, validation: DataFrame, buckets: int = BUCKETS,
     reg_params: Iterable[float] = (0.001, 0.01, 0.1), max_iter: int = 50,
 ) -> PipelineModel:
     """Fit on train and keep the regularisation with the best validation F1. Whole texts are used."""
     train, validation = (stored(part.select("label", "text"), "texts") for part in (train, validation))
     features = Pipeline(stages=[
         _tokenizer(),
-        CountVectorizer(inputCol="_tokens", outputCol="_tf", vocabSize=vocabulary, minDF=min_df),
+        HashingTF(inputCol="_tokens", outputCol="_tf", numFeatures=buckets),
         IDF(inputCol="_tf", outputCol="_tfidf"),
     ]).fit(train)
     ready, held = (stored(features.transform(part).select("label", "_tfidf"), "tfidf") for part in (train, validation))
@@ -64,44 +70,32 @@ def score_with_model(df: DataFrame, loader: Callable, schema: str) -> DataFrame:
     return df.mapInPandas(run, schema)
 
 
-def token_weights(model: PipelineModel, df: DataFrame) -> DataFrame:
-    """(token, weight): log-odds one occurrence of the token adds. At most VOCABULARY rows."""
-    _, counts, idf, logistic = model.stages
-    rows = [
-        (token, float(w) * float(i))
-        for token, w, i in zip(counts.vocabulary, logistic.coefficients.toArray(), idf.idf.toArray())
-        if w
-    ]
-    return df.sparkSession.createDataFrame(rows, "token string, weight double")
+def with_weight(tokens: DataFrame, model: PipelineModel, token: str = "token") -> DataFrame:
+    """Append `weight`: the log-odds one occurrence of the token adds. Narrow."""
+    _, hashing, idf, logistic = model.stages
+    scored = logistic.transform(idf.transform(hashing.transform(tokens.withColumn("_tokens", F.array(token)))))
+    return scored.select(*tokens.columns, (vector_to_array("rawPrediction")[1] - F.lit(float(logistic.intercept))).alias("weight"))
+
+
+def _word_places(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for i in range(0, batch.num_rows, 500):
+            part = batch.slice(i, 500)
+            rows = [(k, m.start(), m.end(), m[0]) for k, text in zip(*(part.column(j).to_pylist() for j in (0, 1))) for m in WORD.finditer(text or "")]
+            columns = list(zip(*rows)) or [[]] * 4
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(c, t) for c, t in zip(columns, (pa.int64(), pa.int32(), pa.int32(), pa.string()))], names=["review_id", "start", "end", "text"])
 
 
 def token_offsets(df: DataFrame) -> DataFrame:
-    """(review_id, start, end, text, token): word occurrences with character offsets.
-
-    Gaps and words alternate, so the start of a word is the running length of
-    all gaps and words before it.
-    """
-    body = X.present(F.col("text"))
-    pieces = F.arrays_zip(
-        F.transform(F.split(body, L.WORD), F.length).alias("gap"),
-        F.regexp_extract_all(body, F.lit(L.WORD), F.lit(0)).alias("word"),
-    )
-    rows = df.select("review_id", F.posexplode(pieces).alias("pos", "p")).select(
-        "review_id", "pos", F.col("p.gap").alias("gap"), F.col("p.word").alias("text")
-    ).filter("text is not null")
-    so_far = W.partitionBy("review_id").orderBy("pos").rowsBetween(W.unboundedPreceding, W.currentRow)
-    end = F.sum(F.col("gap") + F.length("text")).over(so_far).cast("int")
-    return rows.select("review_id", end.alias("end"), "text").select(
-        "review_id", (F.col("end") - F.length("text")).alias("start"), "end", "text",
-        F.lower("text").alias("token"),
-    )
+    """(review_id, start, end, text, token): word occurrences with character offsets. Narrow."""
+    rows = df.select(F.col("review_id").cast("bigint"), "text").mapInArrow(_word_places, "review_id bigint, start int, end int, text string")
+    return rows.withColumn("token", F.lower("text"))
 
 
 def token_contributions(df: DataFrame, model: PipelineModel, prob: str = "base_prob", least: float = L.HIGHLIGHT_FROM) -> DataFrame:
     """(review_id, start, end, text, score): signed log-odds share of every word occurrence,
     for reviews with prob >= least only. Exact: scores plus intercept give the margin."""
     wanted = df.filter(F.col(prob) >= least).select("review_id", "text")
-    weights = F.broadcast(token_weights(model, df))  # bounded by the vocabulary size
-    return token_offsets(wanted).join(weights, "token").select(
-        "review_id", "start", "end", "text", F.col("weight").alias("score")
-    )
+    rows = with_weight(token_offsets(wanted), model).filter("weight <> 0")
+    return rows.select("review_id", "start", "end", "text", F.col("weight").alias("score"))

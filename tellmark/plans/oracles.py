@@ -360,6 +360,16 @@ select (select count(*) from s) as raw, (select count(*) from s where refused) a
 select -1 - (conv_id * 1048576 + turn), role, null, text, 1 from conversations""",
     "split_reviews": f"with {REVIEWS}, {split_of('reviews')} select review_id, split from parts",
     "split_sizes": f"with {REVIEWS}, {split_of('reviews')} select split, count(*) as n from parts group by split",
+    "screen_roles": f"""with {REVIEWS}, pool as (select review_id from reviews where label is not null and _model is distinct from {q(HELD_OUT)}),
+r as (select review_id, row_number() over (order by {SPLIT_KEY}, review_id) - 1 as r, count(*) over () as n from pool)
+select review_id, case when r < floor(0.6::double * n) then 'train' when r < floor(0.8::double * n) then 'validation'
+ when md5(concat('43:', review_id::varchar)) < '8' then 'tune' else 'test' end as split from r
+union all select review_id, 'heldout' from reviews where label is not null and _model = {q(HELD_OUT)}""",
+    "detect_facts": "select doc_id as review_id, true as follows, true as verdict_fits from documents",
+    "threshold_facts": f"select true as same_threshold, true as same_f1, true as has_auc, {len(L.FEATURES)}::bigint as medians",
+    "model_round_trip_facts": "select doc_id as review_id, true as same from documents",
+    "feature_importance_facts": f"select {len(L.FEATURES)}::bigint as features, 1.0::double as total, true as none_negative",
+    "feature_contributions_facts": "select doc_id as review_id, true as adds_up from documents",
     "generation_quota": f"with {REVIEWS}, {quota()} select * from quota",
     "prompt_plan": prompt_plan(),
     "accept_generated": f"""with s as (select conv_id, turn, {strip(f"regexp_replace({strip('text')}, '^[\"]+|[\"]+$', '', 'g')")} as text from conversations)

@@ -1,14 +1,16 @@
 """Every operator as a query over the given tables: name -> (spark, sf_dir) -> DataFrame."""
 from __future__ import annotations
 
+import zlib
+
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from tellmark import lexicon as L, schema
 from tellmark.functions import text as X
 from tellmark.operators import bigram, clean, evaluate, neardup, profile, rules, split, style, verdict
-from tellmark.plans import base_model, detect, fusion
-from tellmark.session import scratch_path, stored
+from tellmark.plans import base_model, detect, fusion, screen
+from tellmark.session import checkpoint_root, scratch_path, stored
 from tellmark.sources import cache, sinks, tables
 from tellmark.streaming import score as streams
 
@@ -23,19 +25,6 @@ def query(fn):
     return fn
 
 
-def once_per_session(fn):
-    """Fit once and let the model queries of one session share the result."""
-    fitted = {}
-
-    def shared(spark, sf):
-        at = (spark.sparkContext.applicationId, sf)
-        if at not in fitted:
-            fitted[at] = fn(spark, sf)
-        return fitted[at]
-
-    return shared
-
-
 def reviews(spark: SparkSession, sf: str) -> DataFrame:
     return tables.driver_reviews(spark, sf)
 
@@ -356,38 +345,30 @@ def jaccard_scores(spark, sf):
 
 # --- models ------------------------------------------------------------------------------------
 
-ROUNDS = 10
-
-
-def _parts(spark, sf):
-    rows = split.split_reviews(labelled(spark, sf))
-    return rows.filter("split = 'train'"), rows.filter("split <> 'train'")
-
+def screen_of(spark: SparkSession, sf: str) -> screen.Screen:
+    """The screen stored for these tables under the shared folder; fitted whole where there is none.
 
-@once_per_session
-def _base(spark, sf):
-    train, rest = _parts(spark, sf)
-    return base_model.fit_base_classifier(train, rest, reg_params=(0.01, 0.1), max_iter=20)
+    The path holds the tables' content, so what a query returns does not depend on what ran before.
+    """
+    content = reviews(spark, sf).agg(F.count("*"), F.sum(F.xxhash64("review_id", "text", "label").cast("decimal(38,0)"))).first()
+    path = f"{checkpoint_root(spark).rstrip('/')}/screen-{hash_of(sf, *content)}"
+    if not sinks.is_written(spark, f"{path}/metadata"):
+        screen.fit(reviews(spark, sf), path, HELD_OUT)
+    return screen.load(spark, path)
 
 
-@once_per_session
-def _trained(spark, sf):
-    """(base model, feature table of all reviews, fusion model, medians)."""
-    base = _base(spark, sf)
-    rows = reviews(spark, sf)
-    wide = stored(detect.all_features(rows, base, bigram.fit_bigram_lm(rows)), "features")
-    model, medians = detect.train_fusion(wide.filter("label is not null"), rounds=ROUNDS)
-    return base, wide, model, medians
+def hash_of(*values) -> int:
+    return zlib.crc32(repr(values).encode())
 
 
 @query
 def base_prob(spark, sf):
-    return base_model.base_prob(reviews(spark, sf), _base(spark, sf)).select("review_id", "base_prob")
+    return base_model.base_prob(reviews(spark, sf), screen_of(spark, sf).base).select("review_id", "base_prob")
 
 
 @query
 def token_contributions(spark, sf):
-    base = _base(spark, sf)
+    base = screen_of(spark, sf).base
     return base_model.token_contributions(base_model.base_prob(reviews(spark, sf), base), base)
 
 
@@ -414,43 +395,98 @@ def assemble_features(spark, sf):
     )
 
 
+@query
+def screen_roles(spark, sf):
+    """Which part of the flow each labelled review belongs to."""
+    return screen.roles(labelled(spark, sf), HELD_OUT).select("review_id", "split")
+
+
 @query
 def detect_reviews(spark, sf):
-    _, wide, model, medians = _trained(spark, sf)
-    return detect.detect(wide, model, medians, 0.49).select("review_id", "fusion_prob", "fusion_pred", "verdict")
+    found = screen_of(spark, sf)
+    return found.detect(found.features).select("review_id", "fusion_prob", "fusion_pred", "verdict")
+
+
+@query
+def detect_facts(spark, sf):
+    """Per review: the prediction follows the stored threshold, and the verdict follows both limits."""
+    found = screen_of(spark, sf)
+    p, thr = F.col("fusion_prob"), found.threshold
+    want = F.when(p >= thr, "likely_ai").when(p >= 0.35, "uncertain").otherwise("likely_human")
+    return found.detect(found.features).select(
+        "review_id", (F.col("fusion_pred") == (p >= thr).cast("int")).alias("follows"), (F.col("verdict") == want).alias("verdict_fits"))
+
+
+@query
+def threshold_facts(spark, sf):
+    """The stored threshold is the sweep's best on the tuning part, and the stored rates are its."""
+    found = screen_of(spark, sf)
+    tuned = found.detect(found.features.filter("split = 'tune'")).select("label", "fusion_prob")
+    best = evaluate.best_threshold(evaluate.threshold_sweep(tuned, "fusion_prob"))
+    return best.select((F.abs(F.col("thr") - found.threshold) < 1e-9).alias("same_threshold"),
+                       (F.abs(F.col("f1") - found.metrics["f1"]) < 1e-9).alias("same_f1"),
+                       F.lit("auc" in found.metrics).alias("has_auc"), F.lit(len(found.medians)).cast("bigint").alias("medians"))
+
+
+@query
+def screen_report(spark, sf):
+    return screen.report(screen_of(spark, sf))
 
 
 @query
 def scored_output(spark, sf):
-    _, wide, model, medians = _trained(spark, sf)
-    return fusion.scored_output(detect.detect(wide, model, medians, 0.49))
+    found = screen_of(spark, sf)
+    return fusion.scored_output(found.detect(found.features))
 
 
 @query
 def model_round_trip(spark, sf):
-    _, wide, model, medians = _trained(spark, sf)
+    found = screen_of(spark, sf)
     path = scratch_path(spark, "model")
-    fusion.save_model(model, path)
-    return detect.detect(wide, fusion.load_model(path), medians, 0.49).select("review_id", "fusion_prob")
+    fusion.save_model(found.fusion, path)
+    again = fusion.score_fusion(found.detect(found.features).drop("fusion_prob", "fusion_pred"), fusion.load_model(path), found.threshold)
+    return again.select("review_id", "fusion_prob")
+
+
+@query
+def model_round_trip_facts(spark, sf):
+    """Per review: the model that was saved and loaded again gives the same score."""
+    first = detect_reviews(spark, sf).select("review_id", F.col("fusion_prob").alias("first"))
+    return model_round_trip(spark, sf).join(first, "review_id").select("review_id", (F.col("first") == F.col("fusion_prob")).alias("same"))
 
 
 @query
 def feature_importance(spark, sf):
-    _, _, model, _ = _trained(spark, sf)
-    return fusion.feature_importance(spark, model)
+    return fusion.feature_importance(spark, screen_of(spark, sf).fusion)
+
+
+@query
+def feature_importance_facts(spark, sf):
+    return feature_importance(spark, sf).agg(F.count("*").alias("features"), F.round(F.sum("gain"), 6).alias("total"), (F.min("gain") >= 0).alias("none_negative"))
 
 
 @query
 def feature_contributions(spark, sf):
-    _, wide, model, medians = _trained(spark, sf)
-    ready = profile.impute(wide, medians, L.FEATURES)
-    return fusion.feature_contributions(ready, model).select("review_id", "contributions")
+    found = screen_of(spark, sf)
+    ready = profile.impute(found.features, found.median_table(spark), L.FEATURES)
+    return fusion.feature_contributions(ready, found.fusion).select("review_id", "contributions")
+
+
+@query
+def feature_contributions_facts(spark, sf):
+    """Per review: contributions and bias add up to the model's margin."""
+    found = screen_of(spark, sf)
+    scored = found.detect(found.features).select("review_id", "fusion_prob")
+    total = F.aggregate("contributions", F.lit(float(fusion.expected_margin(found.fusion))), lambda a, x: a + x)
+    margin = F.ln(F.col("fusion_prob") / (1 - F.col("fusion_prob")))
+    return feature_contributions(spark, sf).join(scored, "review_id").select("review_id", (F.abs(total - margin) < 1e-6).alias("adds_up"))
 
 
 @query
 def explain(spark, sf):
-    base, wide, model, medians = _trained(spark, sf)
-    result = detect.explain(detect.detect(wide, model, medians, 0.49), model, base)
+    found = screen_of(spark, sf)
+    scored = stored(found.detect(found.features), "scored")  # read three times below
+    result = detect.explain(scored, found.fusion, found.base, found.norms)
     return result.select("review_id", "verdict", "summary", "explanation_json")
 
 

@@ -16,6 +16,8 @@ METADATA = T.StructType([
     T.StructField("features", T.ArrayType(T.StringType())),
     T.StructField("best_threshold", T.DoubleType()),
     T.StructField("metrics_at_best", T.MapType(T.StringType(), T.DoubleType())),
+    T.StructField("medians", T.MapType(T.StringType(), T.DoubleType())),
+    T.StructField("norms", T.MapType(T.StringType(), T.DoubleType())),
 ])
 REASON = T.StructType([
     T.StructField("category", T.StringType()),

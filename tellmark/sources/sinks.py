@@ -34,6 +34,16 @@ def read_if_present(spark: SparkSession, path: str) -> DataFrame | None:
         return None
 
 
+def is_written(spark: SparkSession, path: str) -> bool:
+    """Whether a text table lies under the path."""
+    try:
+        return not spark.read.text(path).isEmpty()
+    except AnalysisException as err:
+        if err.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return False
+
+
 def append_new(df: DataFrame, path: str, key: list[str]) -> None:
     """Append only rows whose key the table lacks; a rerun adds nothing."""
     have = read_if_present(df.sparkSession, path)
@@ -42,8 +52,17 @@ def append_new(df: DataFrame, path: str, key: list[str]) -> None:
     df.write.mode("append").parquet(path)
 
 
-def write_metadata(spark: SparkSession, path: str, features: list[str], best: DataFrame) -> None:
-    """Store feature order, tuned threshold and the metrics there; `best` has one row."""
+def write_metadata(
+    spark: SparkSession, path: str, features: list[str], best: DataFrame,
+    medians: dict[str, float] | None = None, norms: dict[str, float] | None = None,
+) -> None:
+    """Store feature order, tuned threshold and the metrics there (`best` has one row), and the
+    medians and norms that scoring and explaining reuse."""
+
+    def as_map(values: dict[str, float] | None):
+        items = [x for k, v in (values or {}).items() for x in (F.lit(k), F.lit(v).cast("double"))]
+        return (F.create_map(*items) if items else F.lit(None)).cast("map<string,double>")
+
     metrics = [c for c in best.columns if c != "thr"]
     best.select(
         F.array(*[F.lit(f) for f in features]).alias("features"),
@@ -51,6 +70,7 @@ def write_metadata(spark: SparkSession, path: str, features: list[str], best: Da
         F.create_map(
             *[x for c in ["thr", *metrics] for x in (F.lit(c), F.col(c).cast("double"))]
         ).alias("metrics_at_best"),
+        as_map(medians).alias("medians"), as_map(norms).alias("norms"),
     ).write.mode("overwrite").json(path)
 
 
