@@ -18,7 +18,10 @@ HEADLINE = [
     "style_features", "rule_features", "feature_means_by_label", "fit_medians",
     "near_duplicates_lsh", "near_duplicates_exact", "perplexity_features",
     "roc_auc", "threshold_sweep", "compare_models", "evaluate_splits",
-    "rank_reasons", "top_spans", "score_stream",
+    "rank_reasons", "top_spans", "score_stream", "dedupe_text", "append_new", "score_with_cache",
+    "score_stream_cached",
+    # The first of these fits the whole screen (400 rounds); the others load it.
+    "detect_reviews", "base_prob", "token_contributions", "feature_contributions", "explain",
 ]
 
 
