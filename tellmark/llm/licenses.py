@@ -36,7 +36,7 @@ def seeds() -> list[int]:
 
 def shingles(text: Column) -> Column:
     """Hashes of the runs of three words, in order; words are runs of ASCII letters and digits."""
-    words = F.filter(F.split(F.lower(present(text)), "[^a-z0-9]+"), lambda w: w != "")
+    words = F.array_remove(F.split(F.lower(present(text)), "[^a-z0-9]+"), "")
     return F.transform(words, lambda w: F.xxhash64(w))
 
 
@@ -54,12 +54,17 @@ def _min_hash(hashes: Column, seed: int) -> Column:
     return F.array_min(F.transform(hashes, lambda h: h.bitwiseXOR(F.lit(seed))))
 
 
-def window_values(hashes: Column, seed: int) -> Column:
-    """The MinHash value of each window: block minima first, then the least of neighbouring blocks."""
-    blocks = F.sequence(F.lit(1), F.greatest(F.size(hashes), F.lit(1)), F.lit(STRIDE))
-    least = F.transform(blocks, lambda i: _min_hash(F.slice(hashes, i, STRIDE), seed))
-    tail = F.slice(least, 2, F.greatest(F.size(least), F.lit(1)))
-    return F.zip_with(least, tail, lambda a, b: F.least(a, b))
+def with_window_values(df: DataFrame, hashes: str, name: str) -> DataFrame:
+    """Append the MinHash values of all windows and bands: the least of each block of four shingles,
+    for all bands at once, then the least of neighbouring blocks."""
+    h = F.col(hashes)
+    blocks = F.sequence(F.lit(1), F.greatest(F.size(h), F.lit(1)), F.lit(STRIDE))
+    fours = F.transform(blocks, lambda i: F.struct(*[F.get(h, i + (k - 1)).alias(f"h{k}") for k in range(STRIDE)]))
+    least_of = lambda q: F.array(*[F.least(*[q[f"h{k}"].bitwiseXOR(F.lit(s)) for k in range(STRIDE)]) for s in seeds()])
+    both = lambda x, y: F.array(*[F.least(F.get(x, F.lit(k)), F.get(y, F.lit(k))) for k in range(BANDS)])
+    df = df.withColumn(name, fours).withColumn(name, F.transform(name, least_of))
+    following = F.slice(name, 2, F.greatest(F.size(name), F.lit(1)))
+    return df.withColumn(name, F.flatten(F.zip_with(name, following, both)))
 
 
 def template_index(spark: SparkSession, templates: dict[str, str]) -> DataFrame:
@@ -98,13 +103,11 @@ def scan_licenses(
 
     kept = without(docs, "license", "containment", "first_shingle")
     rows = with_shingles(docs.select(F.struct(*kept).alias("row"), F.col(text_col).alias("t")), F.col("t"), "hashes").drop("t")
-    found = []
-    for i, seed in enumerate(seeds()):
-        known = F.array(*[F.lit(v) for v in sorted({v for r in index for v in r["values"][i]})])
-        found.append(F.array_intersect(window_values(F.col("hashes"), seed), known))
-    values = F.array_distinct(F.flatten(F.array(*found)))
+    # Values of different bands never meet by chance, so one lookup serves all bands.
+    known = F.array(*[F.lit(v) for v in sorted(of_value)])
+    rows = with_window_values(rows, "hashes", "values").withColumn("values", F.array_intersect("values", known))
     # One row for each text with a hit, then one for each template it retrieves.
-    hits = rows.select("row", "hashes", F.explode(F.array(values)).alias("values")).filter(F.size("values") > 0)
+    hits = rows.select("row", "hashes", F.explode(F.array("values")).alias("values")).filter(F.size("values") > 0)
     templates_hit = F.array_distinct(F.flatten(F.transform("values", lambda v: F.try_element_at(lookup, v))))
     hits = hits.select("row", "hashes", F.explode(templates_hit).alias("number"))
     hits = hits.select("row", "hashes", F.get(names, F.col("number")).alias("license"), F.get(wanted, F.col("number")).alias("wanted"))
