@@ -33,7 +33,7 @@ DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
 IP = re.compile(r"(?<![0-9])[0-9]++(?:\.[0-9]+)(?:\.[0-9]+)(?:\.[0-9]+)")
 CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])++")
 PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
-TRIGGER = re.compile(r"[0-9@]")
+TRIGGER = re.compile(r"[\d@\uFF20]")  # any digit, also a fullwidth @
 LOCAL_CHARS = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 
 
@@ -59,8 +59,8 @@ def emails(text: str) -> Iterator[tuple[int, int]]:
         at = text.find("@", max(at + 1, end))
 
 
-def base_spans(text: str) -> tuple[list[tuple[int, int, int]], list[tuple[int, int]]]:
-    """(kind number, start, end) of what passes, by kind and start; and the matches that fail."""
+def base_spans(text: str) -> tuple[list[tuple[int, int, int]], list[tuple[int, int, int]]]:
+    """(kind number, start, end) of what passes, by kind and start; and the same of the matches that fail."""
     if not TRIGGER.search(text):
         return [], []
     good, bad = [(0, *m) for m in emails(text)], []
@@ -69,10 +69,7 @@ def base_spans(text: str) -> tuple[list[tuple[int, int, int]], list[tuple[int, i
             digits = "".join(c for c in m[0] if c in "0123456789")
             ok = (all(len(p.lstrip("0")) <= 3 and int(p.lstrip("0") or 0) <= 255 for p in m[0].split(".")) if kind == 1
                   else 13 <= len(digits) <= 19 and luhn(digits) if kind == 2 else 9 <= len(digits) <= 15)
-            if ok:
-                good.append((kind, *m.span()))
-            else:
-                bad.append(m.span())
+            (good if ok else bad).append((kind, *m.span()))
     return good, bad
 
 
@@ -209,13 +206,14 @@ def tagged_spans(w: dict[str, np.ndarray], texts: list[str]) -> list[list[tuple[
 
 def found_spans(w: dict[str, np.ndarray], texts: list[str], margin: float = MARGIN) -> list[tuple[list, list]]:
     """Per text its base spans, and what the tagger adds: sure enough, long enough, holding a digit or
-    an @, apart from all base spans and from what the patterns looked at and refused."""
+    an @, apart from all base spans, and not just what its kind's own pattern matched and refused."""
     out = []
     for text, tagged in zip(texts, tagged_spans(w, texts)):
         good, bad = base_spans(text)
-        taken = [(s, e) for _, s, e in good] + bad
+        refused = set(bad)
         added = [(k, s, e) for k, s, e, gain in tagged
-                 if gain >= margin and e - s >= LEAST and TRIGGER.search(text, s, e) and not any(s < b and a < e for a, b in taken)]
+                 if gain >= margin and e - s >= LEAST and TRIGGER.search(text, s, e)
+                 and (k, s, e) not in refused and not any(s < b and a < e for _, a, b in good)]
         out.append((good, added))
     return out
 

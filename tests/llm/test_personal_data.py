@@ -88,3 +88,28 @@ def test_tagger_learns_and_reconciles(spark):
         assert set(pd_.as_text(good).split(",")) <= set(r.spans.split(",")) or not good
     assert len(got) == 5 and pd_.find_personal_data(df.limit(0), w).collect() == []
     assert pd_.find_personal_data(df, pd_.fit(df.limit(0))).count() == 5
+
+
+def test_added_spans_outlive_the_refused_digits(monkeypatch):
+    """Digits that no pattern accepts do not void what the tagger finds around them."""
+    text = "call (555) 123-4567 or 192.168.1.x, john42@host, ٠١٢٣٤٥٦٧٨, card 4111-1111-1111-1112, a.1@b.com"
+    at = lambda part, kind: (kind, text.index(part), text.index(part) + len(part), 9.0)
+    said = [at("(555) 123-4567", 3), at("192.168.1.x", 1), at("john42@host", 0), at("٠١٢٣٤٥٦٧٨", 3), at("4111-1111-1111-1112", 2), at("a.1@b.c", 0)]
+    monkeypatch.setattr(pd_, "tagged_spans", lambda w, texts: [said for _ in texts])
+    [(good, added)] = pd_.found_spans({}, [text])
+    assert good == [at("a.1@b.com", 0)[:3]] and added == [x[:3] for x in said[:4]]
+    assert pd_.window_starts("x" * 70 + "٣") == [32, 64] and pd_.window_starts("＠") and pd_.base_spans("٣＠b.com") == ([], [])
+
+
+def test_final_spans_on_planted_texts(spark):
+    docs = spark.createDataFrame(list(enumerate(texts(400, 1))), "doc_id bigint, text string")
+    w = pd_.fit(docs, sample=600, epochs=25)
+    rng = np.random.default_rng(5)
+    d = lambda k: "".join(map(str, rng.integers(0, 10, k)))
+    forms = {"phone": lambda: f"1 ({d(3)}) 555-{d(4)}", "ip": lambda: f"{d(2)}.{d(2)}.{d(2)}.x", "email": lambda: f"wordy.{d(2)}@hostcom"}
+    counts = {}
+    for kind, form in forms.items():
+        planted = [f"some words here before {form()} and some more words behind" for _ in range(40)]
+        counts[kind] = sum(bool(added) for _, added in pd_.found_spans(w, planted))
+    print(counts)
+    assert counts["phone"] + counts["ip"] + counts["email"] > 0
