@@ -50,8 +50,13 @@ def with_shingles(df: DataFrame, text: Column, name: str) -> DataFrame:
     return df.withColumn(name, shingles(text)).withColumn(name, _runs(F.col(name)))
 
 
+def _value(h: Column, seed: int) -> Column:
+    """A hash of its own for each band; null stays null."""
+    return F.when(h.isNotNull(), F.xxhash64(F.lit(seed), h))
+
+
 def _min_hash(hashes: Column, seed: int) -> Column:
-    return F.array_min(F.transform(hashes, lambda h: h.bitwiseXOR(F.lit(seed))))
+    return F.array_min(F.transform(hashes, lambda h: _value(h, seed)))
 
 
 def with_window_values(df: DataFrame, hashes: str, name: str) -> DataFrame:
@@ -60,7 +65,7 @@ def with_window_values(df: DataFrame, hashes: str, name: str) -> DataFrame:
     h = F.col(hashes)
     blocks = F.sequence(F.lit(1), F.greatest(F.size(h), F.lit(1)), F.lit(STRIDE))
     fours = F.transform(blocks, lambda i: F.struct(*[F.get(h, i + (k - 1)).alias(f"h{k}") for k in range(STRIDE)]))
-    least_of = lambda q: F.array(*[F.least(*[q[f"h{k}"].bitwiseXOR(F.lit(s)) for k in range(STRIDE)]) for s in seeds()])
+    least_of = lambda q: F.array(*[F.least(*[_value(q[f"h{k}"], s) for k in range(STRIDE)]) for s in seeds()])
     both = lambda x, y: F.array(*[F.least(F.get(x, F.lit(k)), F.get(y, F.lit(k))) for k in range(BANDS)])
     df = df.withColumn(name, fours).withColumn(name, F.transform(name, least_of))
     following = F.slice(name, 2, F.greatest(F.size(name), F.lit(1)))

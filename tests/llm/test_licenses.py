@@ -51,3 +51,14 @@ def test_empty_and_repeats(spark):
     df = spark.createDataFrame([(None, "x Released under the MIT License. y")] * 2, "doc_id bigint, text string")
     assert [tuple(r)[:1] + tuple(r)[2:] for r in lic.scan_licenses(df).collect()] == [(None, "MIT", 1.0, 1)] * 2
     assert lic.scan_licenses(df.limit(0)).collect() == []
+
+
+def test_recall_of_short_templates(spark):
+    """Templates of three shingles share a band with a window of eight nearly always."""
+    rng = random.Random(11)
+    word = lambda: "".join(rng.choice("abcdefghijklmnop") for _ in range(7))
+    templates = {f"t{i}": " ".join(word() for _ in range(5)) for i in range(80)}
+    rows = [(" ".join([*(word() for _ in range(20 + i % 4)), text, *(word() for _ in range(20))]), name) for i, (name, text) in enumerate(templates.items())]
+    df = spark.createDataFrame(rows, "text string, name string")
+    found = lic.scan_licenses(df, templates).filter("license = name and containment = 1").count()
+    assert found >= 78
