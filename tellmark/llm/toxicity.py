@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from tellmark.llm.common import documents, present, without
 
 #: Labelled rows used for the fit, of each class; a seeded hash chooses. Bounds the index.
-EXAMPLES = 2000
+EXAMPLES = 3000
 NEAREST = 16
 BLOCK = 64
 #: Terms kept as full columns.
