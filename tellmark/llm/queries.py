@@ -1,7 +1,7 @@
 """The registered queries of this package and the SQL they are checked with."""
 from __future__ import annotations
 
-from tellmark.llm import exact_dedup, fingerprint, licenses, line_dedup, mixing, ngram_join, personal_data, pieces, sharding, toxicity
+from tellmark.llm import exact_dedup, fingerprint, licenses, line_dedup, mixing, ngram_join, personal_data, pieces, sharding, token_counts, toxicity
 
 QUERIES = {
     "op1_toxicity": toxicity.query,
@@ -14,6 +14,7 @@ QUERIES = {
     "op8_pieces": pieces.query,
     "op9_fingerprint": fingerprint.query,
     "op10_exact_dedup": exact_dedup.query,
+    "op11_token_counts": token_counts.query,
 }
 ORACLES = {
     "op5_mixing": mixing.ORACLE,
