@@ -54,7 +54,15 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 
 def stored(df: DataFrame, name: str) -> DataFrame:
     """Write once to the shared folder and read back: lineage ends here, later reads are
-    pruned column by column, and a lost executor costs no recomputation."""
-    path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.parquet(path)
+    pruned column by column, and a lost executor costs no recomputation. The shuffle files
+    that led to the table go as soon as it is written."""
+    spark, cleanup = df.sparkSession, "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    path, before = scratch_path(spark, name), spark.conf.get(cleanup, None)
+    if before is not None:
+        spark.conf.set(cleanup, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        if before is not None:
+            spark.conf.set(cleanup, before)
+    return spark.read.parquet(path)
