@@ -18,7 +18,8 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+import pyarrow.compute as pc
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from tellmark.llm.common import documents, present, without
 
@@ -79,6 +80,9 @@ def chosen_examples(labels: DataFrame, id_col: str, label_col: str, learn: Colum
     return parts[0].unionAll(parts[1])
 
 
+POSTINGS = pa.schema([("id", pa.int64()), ("label", pa.int32()), ("term", pa.string()), ("tf", pa.int64()), ("df", pa.int64())])
+
+
 # -- the index -----------------------------------------------------------------------------------------
 
 @dataclass
@@ -200,18 +204,38 @@ def isotonic(x: np.ndarray, y: np.ndarray, weight: np.ndarray) -> tuple[np.ndarr
 
 def build_index(postings: list[tuple[int, int, str, int]], df: dict[str, int], n_docs: int, totals: dict[int, int], k: int = NEAREST) -> Index:
     """Index of examples given as (id, label, term, count); `totals` has the rows of each class."""
-    terms = {t: i for i, t in enumerate(sorted({p[2] for p in postings} - {""}))}
-    idf = np.array([np.log((n_docs + 1) / max(1, df.get(t, 1))) for t in terms])
-    idf = np.maximum(idf, 0.0)
-    examples: dict[int, tuple[int, Counter]] = {}
-    for i, y, t, n in postings:
-        examples.setdefault(i, (y, Counter()))[1].update({t: n} if t else {})
-    ids = np.array(sorted(examples), np.int64)
-    index = Index(terms, idf, ids, np.array([examples[i][0] for i in ids], float), *[np.empty(0)] * 6,
+    columns = [list(c) for c in zip(*postings)] or [[]] * 4
+    return index_of(pa.table([*columns, [df.get(t) for t in columns[2]]], schema=POSTINGS), n_docs, totals, k)
+
+
+def index_of(postings: pa.Table, n_docs: int, totals: dict[int, int], k: int = NEAREST) -> Index:
+    """Index of the examples in a table (id, label, term, tf, df), which no Python object per row is
+    made of. An empty term stands for a text without terms."""
+    table = postings.combine_chunks()
+    known = table.filter(pc.not_equal(table["term"], ""))
+    coded = pc.dictionary_encode(known["term"]).combine_chunks()
+    coded = coded.chunk(0) if isinstance(coded, pa.ChunkedArray) else coded
+    names = coded.dictionary.to_pylist()
+    place = np.empty(len(names), np.int64)
+    place[np.array(sorted(range(len(names)), key=names.__getitem__), np.int64)] = np.arange(len(names))
+    at = place[coded.indices.to_numpy()]
+    counts = np.ones(len(names))
+    counts[at] = pc.fill_null(known["df"], 1).to_numpy()
+    idf = np.maximum(np.log((n_docs + 1) / np.maximum(counts, 1)), 0.0)
+    ids, first = np.unique(table["id"].to_numpy(), return_index=True)
+    index = Index({t: int(i) for t, i in zip(names, place)}, idf, ids, table["label"].to_numpy()[first].astype(float), *[np.empty(0)] * 6,
                   prior=totals.get(1, 0) / max(1, sum(totals.values())), steps=(np.array([0.0, 1.0]), np.array([0.0, 1.0])))
     if not len(ids):
         return index
-    vectors = [index.vector(examples[i][1]) for i in ids.tolist()]
+    example = np.searchsorted(ids, known["id"].to_numpy())
+    weights = (1 + np.log(known["tf"].to_numpy())) * idf[at]
+    norms = np.sqrt(np.bincount(example, weights * weights, len(ids)))
+    used = norms[example] > 0
+    example, at, weights = example[used], at[used], weights[used] / norms[example[used]]
+    sort = np.lexsort((at, example))
+    at, weights, ends = at[sort], weights[sort], np.cumsum(np.bincount(example, minlength=len(ids)))[:-1]
+    vectors = list(zip(np.split(at, ends), np.split(weights, ends)))
+    terms = index.terms
     order = _blocks(vectors, len(terms))
     index.ids, index.labels = ids[order], index.labels[order]
     block = np.repeat(np.arange(len(ids)) // BLOCK, [len(vectors[i][0]) for i in order])
@@ -263,40 +287,39 @@ def fit(
     texts = docs.select(F.col(id_col).cast("bigint").alias("id"), present(F.col(text_col)).alias("text"))
     postings = texts.join(F.broadcast(chosen), "id").select("id", "label", "text")  # 2 x examples rows at most
     postings = postings.groupBy("id", "label").agg(F.min("text").alias("text")).mapInArrow(_postings, "id bigint, label int, term string, tf bigint")
-    joined = postings.join(document_frequencies(docs, text_col), "term", "left").select("id", "label", "term", "tf", "df").toArrow().to_pydict()
-    df = dict(zip(joined["term"], (x or 1 for x in joined["df"])))
-    return build_index(list(zip(joined["id"], joined["label"], joined["term"], joined["tf"])), df, docs.count(), totals, k)
+    joined = postings.join(document_frequencies(docs, text_col), "term", "left").select("id", "label", "term", "tf", "df")
+    return index_of(joined.toArrow(), docs.count(), totals, k)
 
 
 # -- scoring ---------------------------------------------------------------------------------------------
 
+EVIDENCE_TYPE = T.ArrayType(T.StructType([T.StructField("id", T.LongType()), T.StructField("similarity", T.DoubleType()), T.StructField("label", T.IntegerType())]))
 NEIGHBOURS = pa.list_(pa.struct([("id", pa.int64()), ("similarity", pa.float64()), ("label", pa.int32())]))
 
 
-def _score(batches: Iterator[pa.RecordBatch], shared, k: int) -> Iterator[pa.RecordBatch]:
+def _score(batches: Iterator[pa.RecordBatch], shared, k: int, text: int) -> Iterator[pa.RecordBatch]:
     index: Index = shared.value
     for batch in batches:
         for start in range(0, batch.num_rows, 500):
             part = batch.slice(start, 500)
             scores, evidence = [], []
-            counts = [term_counts(text) for text in part.column(part.num_columns - 1).to_pylist()]
+            counts = [term_counts(x or "") for x in part.column(text).to_pylist()]
             for p, near, cosines in index.scores(counts, k):
                 scores.append(p)
                 evidence.append([{"id": int(index.ids[i]), "similarity": float(c), "label": int(index.labels[i])}
                                  for i, c in zip(near[:EVIDENCE], cosines[:EVIDENCE])])
-            columns = [*part.columns[:-1], pa.array(scores, pa.float64()), pa.array(evidence, NEIGHBOURS)]
-            yield pa.RecordBatch.from_arrays(columns, names=[*part.schema.names[:-1], "score", "evidence"])
+            columns = [*part.columns, pa.array(scores, pa.float64()), pa.array(evidence, NEIGHBOURS)]
+            yield pa.RecordBatch.from_arrays(columns, names=[*part.schema.names, "score", "evidence"])
 
 
 def score(docs: DataFrame, index: Index, text_col: str = "text", threshold: float = THRESHOLD, k: int = NEAREST) -> DataFrame:
     """The input with score, evidence (the nearest examples) and predicted; columns of these names
     are replaced. Only the text is used. Null, empty and wholly unknown texts get the base rate of
     the labels. Nothing is shuffled."""
-    rows = docs.select(*without(docs, "score", "evidence", "predicted"), present(F.col(text_col)).alias("score"))
-    kept = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields[:-1])
-    schema = f"{kept + ', ' if kept else ''}score double, evidence array<struct<id: bigint, similarity: double, label: int>>"
+    rows = docs.select(*without(docs, "score", "evidence", "predicted"))
+    schema = T.StructType([*rows.schema.fields, T.StructField("score", T.DoubleType()), T.StructField("evidence", EVIDENCE_TYPE)])
     shared = docs.sparkSession.sparkContext.broadcast(index)  # bounded by the number of examples
-    scored = rows.mapInArrow(functools.partial(_score, shared=shared, k=k), schema)
+    scored = rows.mapInArrow(functools.partial(_score, shared=shared, k=k, text=[c.lower() for c in rows.columns].index(text_col.lower())), schema)
     return scored.withColumn("predicted", (F.col("score") >= threshold).cast("int"))
 
 
