@@ -38,11 +38,11 @@ def test_stages(spark, sf):
             for i, r in before.items():
                 left = after[i].text.split("\n") if i in after else []
                 lost = [x for x in r.text.split("\n") if x not in left]
-                assert all(len(norm(x)) >= 24 for x in lost)  # short lines stay
-                exact = [x for x in r.text.split("\n") if len(norm(x)) >= 24 and first[norm(x)] < i]
+                assert all(norm(x) for x in lost)  # blank lines stay
+                exact = [x for x in r.text.split("\n") if norm(x) and first[norm(x)] < i]
                 assert not set(exact) & set(left)
-                if not lost:
-                    assert i in after and after[i].text == r.text
+                if not lost:  # at most lines repeated in the text itself have gone
+                    assert i in after and list(dict.fromkeys(after[i].text.split("\n"))) == list(dict.fromkeys(r.text.split("\n")))
         if name == "n-gram Jaccard join":
             ids = sorted(before)
             sets = {i: shingles(before[i].text) for i in ids}
