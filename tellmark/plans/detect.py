@@ -1,6 +1,8 @@
 """End-to-end plans: all features, training, scoring, explanation."""
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, functions as F
 
@@ -43,9 +45,15 @@ def detect(features: DataFrame, model: PipelineModel, medians: DataFrame, thr: f
     return scored.withColumn("verdict", verdict(F.col("fusion_prob"), thr))
 
 
-def explain(scored: DataFrame, model: PipelineModel, base: PipelineModel, norms: dict | None = None) -> DataFrame:
+def explain(
+    scored: DataFrame, model: PipelineModel, base: PipelineModel | None, norms: dict | None = None,
+    attribute: Callable[[DataFrame], DataFrame] | None = None,
+) -> DataFrame:
     """Reasons, highlighted spans, summary and the nested explanation for scored reviews.
 
+    `attribute` gives the words' shares in a score, as `attributions` does for any plugged-in
+    model; without it they are those of the base model.
+
     Contributions are computed only where a reason can be given and tokens only
     above the highlight limit; both filters sit below the Python stage.
     """
@@ -55,7 +63,7 @@ def explain(scored: DataFrame, model: PipelineModel, base: PipelineModel, norms:
     flagged = feature_contributions(scored.filter("verdict <> 'likely_human'"), model)
     reasons = rank_reasons(human.unionByName(flagged), feature_order(model), norms, prob="fusion_prob")
     spans = (
-        top_spans(token_contributions(scored, base, prob="fusion_prob"))
+        top_spans(attribute(scored) if attribute else token_contributions(scored, base, prob="fusion_prob"))
         .groupBy("review_id")
         .agg(F.transform(
             F.array_sort(F.collect_list(F.struct("rank", F.struct("start", "end", "text", "score").alias("span")))),

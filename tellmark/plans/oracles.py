@@ -406,6 +406,10 @@ sized as (select review_id, count(*) as n from shingles group by review_id),
 common as (select id, other, count(*) as c from asked join shingles a on a.review_id = id join shingles b on b.review_id = other and a.shingle = b.shingle group by id, other)
 select id, other, round(coalesce(c, 0)::double / (x.n + y.n - coalesce(c, 0)), 6) as jaccard from asked left join common using (id, other)
  join sized x on x.review_id = id join sized y on y.review_id = other""",
+    "attributions_facts": f"""with {REVIEWS}, {STYLE} select review_id, len(regexp_extract_all(reviews.text, '[A-Za-z'']+'))::bigint as words, true as adds_up
+from style join reviews using (review_id) where {SCORE} >= {L.HIGHLIGHT_FROM} and reviews.text is not null""",
+    "linear_attributions": """with w as (select item_id as review_id, unnest(regexp_extract_all(text, '[A-Za-z'']+')) as word from benchmark)
+select review_id, count(*) as words, 0::bigint as off, round(sum(length(word) - 4) / 100.0::double, 6) as total, sum(length(word))::bigint as letters from w group by review_id""",
     "score_with_model": f"with {REVIEWS} select review_id, length(text) / (length(text) + 1000.0::double) as prob from reviews",
     "assemble_features": f"with {REVIEWS}, {STYLE}, {RULES} select review_id, 22::bigint as n, {FEATURES22[0]} as first, {FEATURES22[-1]} as last from style join rules using (review_id)",
     "classify_reviews": f"""with {REVIEWS}, {STYLE}, c as (select review_id, {SCORE} as p, {REJECT} end as reject_reason from style)

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from tellmark import lexicon as L, schema
 from tellmark.functions import text as X
 from tellmark.operators import bigram, clean, evaluate, neardup, profile, rules, split, style, verdict
-from tellmark.plans import base_model, detect, fusion, screen
+from tellmark.plans import attributions, base_model, detect, fusion, screen
 from tellmark.session import checkpoint_root, scratch_path, stored
 from tellmark.sources import cache, sinks, tables
 from tellmark.streaming import score as streams
@@ -372,6 +372,44 @@ def token_contributions(spark, sf):
     return base_model.token_contributions(base_model.base_prob(reviews(spark, sf), base), base)
 
 
+def _word_model(link):
+    """A loader of a model that adds (letters - 4) / 100 over all words and passes the sum through a link."""
+
+    def load():
+        def predict(batch):
+            margin = batch["text"].map(lambda text: sum(len(w[0]) - 4 for w in attributions.WORD.finditer(text)) / 100)
+            return batch.assign(prob=link(margin))[["review_id", "prob"]]
+
+        return predict
+
+    return load
+
+
+@query
+def attributions_facts(spark, sf):
+    """Per review with a score of 0.65 or more: under a model that does not add up over words, the
+    shares of its words give the score of the text less that of the text without its words."""
+    load = _word_model(lambda margin: 1 / (1 + 2.718281828459045 ** -(margin + margin * margin)))
+    rows = style.style_features(texts(spark, sf)).select("review_id", F.col(SCORE).alias("prob"), "text")
+    wanted = stored(rows.filter(F.col("prob") >= L.HIGHLIGHT_FROM), "wanted")  # read twice below
+    shares = attributions.attributions(wanted, load, evaluations=64).groupBy("review_id").agg(F.sum("score").alias("shared"), F.count("*").alias("words"))
+    whole = base_model.score_with_model(wanted.select("review_id", "text"), load, "review_id bigint, prob double")
+    none = 0.5  # of a text without words
+    out = whole.join(shares, "review_id", "left")
+    return out.select("review_id", F.coalesce("words", F.lit(0)).alias("words"), (F.abs(F.col("prob") - none - F.coalesce("shared", F.lit(0.0))) < 1e-9).alias("adds_up"))
+
+
+@query
+def linear_attributions(spark, sf):
+    """Per benchmark text: under a model that adds up over words, each word's share is its own weight."""
+    rows = spark.read.parquet(f"{sf}/benchmark.parquet").select(F.col("item_id").alias("review_id"), "text", F.lit(1.0).alias("prob"))
+    shares = attributions.attributions(rows, _word_model(lambda margin: margin), evaluations=1 << 14)
+    off = F.abs(F.col("score") - (F.length("text") - 4) / 100.0) > 1e-9
+    return shares.groupBy("review_id").agg(
+        F.count("*").alias("words"), F.count_if(off).alias("off"), F.round(F.sum("score"), 6).alias("total"),
+        F.sum(F.col("end") - F.col("start")).alias("letters"))
+
+
 @query
 def score_with_model(spark, sf):
     """The plug-in point for pretrained models, with a length rule as the model."""
