@@ -446,5 +446,8 @@ c as (select review_id, {SCORE} as p, {REJECT} end as reject_reason from style)
 select rules.*, reject_reason, case when reject_reason is null then case when p > 0.5 then 'ai' else 'human' end end as classification,
  case when reject_reason is null then round(case when p > 0.5 then p else 1 - p end, 4) end as confidence from rules join c using (review_id)""",
     "dedupe_stream": "select sha256(text) as text_hash, count(*) as copies from documents group by 1",
+    "counted_copies": """with t as (select event_id as doc_id, min(ts)::timestamp as ts from events group by 1),
+d as (select doc_id, text, coalesce(ts, timestamp '1970-01-01') as ts from documents left join t using (doc_id) where text is not null)
+select sha256(text) as text_hash, doc_id as review_id, count(*) over (partition by text) as copies from d qualify row_number() over (partition by text order by ts, doc_id) = 1""",
     "score_stream_cached": f"""select doc_id as review_id, '{{"words":' || len({tokens('text')}) || '}}' as payload from documents""",
 }

@@ -12,7 +12,7 @@ from tellmark.operators import bigram, clean, evaluate, neardup, profile, rules,
 from tellmark.plans import attributions, base_model, detect, fusion, screen
 from tellmark.session import checkpoint_root, scratch_path, stored
 from tellmark.sources import cache, sinks, tables
-from tellmark.streaming import score as streams
+from tellmark.streaming import dedupe, score as streams
 
 QUERIES = {}
 SCORE = "type_token_ratio"  # a text feature in [0, 1] stands in for a model's score
@@ -695,6 +695,26 @@ def dedupe_stream(spark, sf):
     return copies.join(first.distinct(), "text_hash", "left_semi")
 
 
+@query
+def counted_copies(spark, sf):
+    """Which document of each text came first and how often the text came, told by the stream alone.
+
+    Documents arrive in four parts in the order of their events (one without an event at the start
+    of time); after each part the stream goes on from its checkpoint. No state expires here.
+    """
+    times = spark.read.parquet(f"{sf}/events.parquet").groupBy(F.col("event_id").alias("doc_id")).agg(F.min("ts").cast("timestamp").alias("ts"))
+    docs = spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text").join(times, "doc_id", "left")
+    arriving = docs.select(F.col("doc_id").alias("review_id"), "text", F.coalesce("ts", F.lit(0).cast("timestamp")).alias("ts"))
+    cuts = arriving.agg(F.percentile_approx("ts", [0.25, 0.5, 0.75])).first()[0] or []
+    part = sum((F.col("ts") > F.lit(c)).cast("int") for c in cuts) if cuts else F.lit(0)
+    arrivals, out, state = (scratch_path(spark, name) for name in ("arrivals", "stream", "stream-state"))
+    for i in range(len(cuts) + 1):
+        arriving.filter(part == i).write.mode("append").parquet(arrivals)
+        stream = spark.readStream.schema("review_id bigint, text string, ts timestamp").parquet(arrivals)
+        dedupe.run_counted(dedupe.counted_copies(stream, "ts", "36500 days"), out, state)
+    return dedupe.survivors(spark, out)
+
+
 @query
 def score_stream_cached(spark, sf):
     out = scratch_path(spark, "stream")
