@@ -6,7 +6,7 @@ from collections.abc import Callable
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, functions as F
 
-from tellmark import lexicon as L
+from tellmark import lexicon as L, schema
 from tellmark.operators.bigram import perplexity_features
 from tellmark.operators.neardup import near_duplicate_features
 from tellmark.operators.profile import impute, impute_median
@@ -15,6 +15,10 @@ from tellmark.operators.style import style_features
 from tellmark.operators.verdict import explanation, plain_summary, rank_reasons, top_spans, verdict
 from tellmark.plans.base_model import base_prob, token_contributions
 from tellmark.plans.fusion import feature_contributions, feature_order, fit_fusion, score_fusion
+from tellmark.session import stored
+from tellmark.sources.cache import score_with_cache
+
+SPANS = f"array<{schema.SPAN.simpleString()}>"
 
 
 def text_features(df: DataFrame) -> DataFrame:
@@ -47,7 +51,7 @@ def detect(features: DataFrame, model: PipelineModel, medians: DataFrame, thr: f
 
 def explain(
     scored: DataFrame, model: PipelineModel, base: PipelineModel | None, norms: dict | None = None,
-    attribute: Callable[[DataFrame], DataFrame] | None = None,
+    attribute: Callable[[DataFrame], DataFrame] | None = None, cache_path: str | None = None,
 ) -> DataFrame:
     """Reasons, highlighted spans, summary and the nested explanation for scored reviews.
 
@@ -62,14 +66,32 @@ def explain(
     )
     flagged = feature_contributions(scored.filter("verdict <> 'likely_human'"), model)
     reasons = rank_reasons(human.unionByName(flagged), feature_order(model), norms, prob="fusion_prob")
-    spans = (
-        top_spans(attribute(scored) if attribute else token_contributions(scored, base, prob="fusion_prob"))
-        .groupBy("review_id")
+    shares = attribute or (lambda rows: token_contributions(rows, base, prob="fusion_prob"))
+    spans = spans_of(scored, shares) if cache_path is None else cached_spans(scored, shares, cache_path)
+    return explanation(
+        plain_summary(reasons.join(spans, "review_id", "left"), prob="fusion_prob"), prob="fusion_prob"
+    ).drop("contributions")
+
+
+def spans_of(scored: DataFrame, attribute: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """(review_id, highlighted_spans): the strongest words of each review, in order."""
+    return (
+        top_spans(attribute(scored)).groupBy("review_id")
         .agg(F.transform(
             F.array_sort(F.collect_list(F.struct("rank", F.struct("start", "end", "text", "score").alias("span")))),
             lambda e: e["span"],
         ).alias("highlighted_spans"))
     )
-    return explanation(
-        plain_summary(reasons.join(spans, "review_id", "left"), prob="fusion_prob"), prob="fusion_prob"
-    ).drop("contributions")
+
+
+def cached_spans(scored: DataFrame, attribute: Callable[[DataFrame], DataFrame], cache_path: str) -> DataFrame:
+    """`spans_of` by way of a cache that is keyed by the text; only texts above the highlight limit
+    are looked up."""
+
+    def find(misses: DataFrame) -> DataFrame:
+        rows = stored(misses.select("hash", "text", F.xxhash64("hash").alias("review_id"), F.lit(1.0).alias("fusion_prob")), "texts")
+        found = rows.select("hash", "review_id").join(spans_of(rows, attribute), "review_id", "left")
+        return found.select("hash", F.to_json(F.coalesce("highlighted_spans", F.array().cast(SPANS))).alias("payload"))
+
+    wanted = scored.filter(F.col("fusion_prob") >= L.HIGHLIGHT_FROM).select("review_id", "text")
+    return score_with_cache(wanted, cache_path, find).select("review_id", F.from_json("payload", SPANS).alias("highlighted_spans"))

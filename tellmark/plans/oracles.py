@@ -408,6 +408,8 @@ select id, other, round(coalesce(c, 0)::double / (x.n + y.n - coalesce(c, 0)), 6
  join sized x on x.review_id = id join sized y on y.review_id = other""",
     "attributions_facts": f"""with {REVIEWS}, {STYLE} select review_id, len(regexp_extract_all(reviews.text, '[A-Za-z'']+'))::bigint as words, true as adds_up
 from style join reviews using (review_id) where {SCORE} >= {L.HIGHLIGHT_FROM} and reviews.text is not null""",
+    "cached_spans_facts": f"""with {REVIEWS}, {STYLE} select review_id, true as same, true as nothing_found_twice
+from style join reviews using (review_id) where {SCORE} >= {L.HIGHLIGHT_FROM}""",
     "linear_attributions": """with w as (select item_id as review_id, unnest(regexp_extract_all(text, '[A-Za-z'']+')) as word from benchmark)
 select review_id, count(*) as words, 0::bigint as off, round(sum(length(word) - 4) / 100.0::double, 6) as total, sum(length(word))::bigint as letters from w group by review_id""",
     "score_with_model": f"with {REVIEWS} select review_id, length(text) / (length(text) + 1000.0::double) as prob from reviews",

@@ -399,6 +399,27 @@ def attributions_facts(spark, sf):
     return out.select("review_id", F.coalesce("words", F.lit(0)).alias("words"), (F.abs(F.col("prob") - none - F.coalesce("shared", F.lit(0.0))) < 1e-9).alias("adds_up"))
 
 
+@query
+def cached_spans_facts(spark, sf):
+    """Per review with a score of 0.65 or more: its spans from a cache that half of the reviews have
+    filled, and from a filled cache, are those found without a cache."""
+    rows = style.style_features(texts(spark, sf)).select("review_id", F.col(SCORE).alias("fusion_prob"), "text")
+    wanted = stored(rows.filter(F.col("fusion_prob") >= L.HIGHLIGHT_FROM), "wanted")
+    load, path, calls = _word_model(lambda margin: margin), scratch_path(spark, "cache"), []
+
+    def shares(part):
+        calls.append(part.count())
+        return attributions.attributions(part, load, prob="fusion_prob", evaluations=32)
+
+    detect.cached_spans(wanted.filter("review_id % 2 = 0"), shares, path).count()
+    parts = [wanted.select("review_id"), detect.spans_of(wanted, shares).withColumnRenamed("highlighted_spans", "plain")]
+    parts += [detect.cached_spans(wanted, shares, path).withColumnRenamed("highlighted_spans", c) for c in ("filled", "again")]
+    plain, filled, again, *_ = parts[1:]
+    out = parts[0].join(plain, "review_id", "left").join(filled, "review_id").join(again, "review_id")
+    same = F.coalesce("plain", F.array().cast(detect.SPANS)).eqNullSafe(F.col("filled")) & F.col("filled").eqNullSafe(F.col("again"))
+    return out.select("review_id", same.alias("same"), F.lit(calls[-1] == 0).alias("nothing_found_twice"))
+
+
 @query
 def linear_attributions(spark, sf):
     """Per benchmark text: under a model that adds up over words, each word's share is its own weight."""

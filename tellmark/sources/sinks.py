@@ -25,9 +25,10 @@ def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     )
 
 
-def read_if_present(spark: SparkSession, path: str) -> DataFrame | None:
+def read_if_present(spark: SparkSession, path: str, fields: str | None = None) -> DataFrame | None:
+    """A table, or None where there is none; with a schema no file is opened for it."""
     try:
-        return spark.read.parquet(path)
+        return (spark.read if fields is None else spark.read.schema(fields)).parquet(path)
     except AnalysisException as err:
         if err.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
             raise

@@ -1,10 +1,12 @@
 """Cleaning, splitting, planning, sources and sinks."""
+from pathlib import Path
+
 import pytest
 from pyspark.sql import functions as F
 
 from tellmark import lexicon as L, schema
 from tellmark.operators import clean, profile, split
-from tellmark.session import scratch_path
+from tellmark.session import scratch_path, stored
 from tellmark.sources import cache, sinks, tables
 
 
@@ -132,6 +134,57 @@ def test_cache_scores_each_text_once(spark):
     assert [r["payload"] for r in first] == ["A", "B", "A", None] and first == second and asked == [2, 0]
 
 
+def upper_payload(misses):
+    return misses.select("hash", F.upper("text").alias("payload"))
+
+
+def test_cache_opens_only_the_buckets_it_needs(spark, monkeypatch):
+    path = scratch_path(spark, "cache")
+    texts = [f"text {i}" for i in range(300)]
+    cache.score_with_cache(frame(spark, texts), path, upper_payload).count()
+    asked = frame(spark, texts[:2]).select(cache.content_hash(F.col("text")).alias("hash"))
+    asked = asked.withColumn("bucket", cache.bucket_of(F.col("hash")))
+    buckets = {r.bucket for r in asked.collect()}
+    for folder in Path(path, "payloads").glob("bucket=*"):  # a file that cannot be read lies in every other bucket
+        if int(folder.name[7:]) not in buckets:
+            (folder / "part-broken.parquet").write_bytes(b"no parquet")
+    assert cache.lookup(asked, path).count() == 2
+    new = frame(spark, [f"new {i}" for i in range(40)]).select(cache.content_hash(F.col("text")).alias("hash"))
+    new = new.withColumn("bucket", cache.bucket_of(F.col("hash")))
+    filters = spark.read.schema(cache.FILTERS).parquet(f"{path}/filters")
+    assert cache.possible(new, filters).count() == 0  # so no bucket is opened for unknown texts
+    assert cache.lookup(new, path).count() == 0
+
+
+def test_cache_batch_that_is_repeated_adds_nothing(spark):
+    path = scratch_path(spark, "cache")
+    df = frame(spark, ["hot"] * 400 + [f"t{i}" for i in range(200)] + [None])
+    first = sorted(map(str, cache.score_with_cache(df, path, upper_payload).collect()))
+    before = spark.read.parquet(f"{path}/payloads").count()
+    assert sorted(map(str, cache.score_with_cache(df, path, upper_payload).collect())) == first
+    assert before == spark.read.parquet(f"{path}/payloads").count() == 201
+
+
+def test_cache_compaction_and_lost_writers(spark):
+    path = scratch_path(spark, "cache")
+    for start in (0, 20, 40):
+        cache.score_with_cache(frame(spark, [f"t{i}" for i in range(start, start + 20)]), path, upper_payload).count()
+    rows = spark.read.parquet(f"{path}/payloads")
+    twice = rows.limit(5).select("hash", "payload")
+    cache.put(stored(twice, "twice"), path)  # as if two writers had raced
+    assert cache.compact(spark, path, most_files=1) > 0 and cache.compact(spark, path, most_files=1) == 0
+    after = spark.read.schema(cache.PAYLOADS).parquet(f"{path}/payloads")
+    assert after.count() == 60 == after.select("hash").distinct().count()
+    misses = []
+
+    def score(rows):
+        misses.append(rows.count())
+        return upper_payload(rows)
+
+    got = cache.score_with_cache(frame(spark, [f"t{i}" for i in range(61)]), path, score).collect()
+    assert misses == [1] and all(r.payload == r.text.upper() for r in got) and len(got) == 61
+
+
 def test_impute_uses_exact_medians_and_ignores_nan(spark):
     nan, inf = float("nan"), float("inf")
     df = spark.createDataFrame([(1.0, 1.0), (nan, 2.0), (3.0, inf), (None, 4.0), (2.0, -inf)], "a double, b double")
