@@ -127,7 +127,6 @@ WORD_LIMITS = (5, 300)
 SHINGLE_WORDS = 5
 NEAR_DUPLICATE_JACCARD = 0.6
 NUM_PERM = 64
-BANDS = (10, 6)
 MAX_PERPLEXITY = 1e6
 PARAGRAPH_UNIFORMITY = 0.6
 SUPERLATIVE_GAP = 5

@@ -21,6 +21,7 @@ from tellmark.session import stored
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 GROUP_LIMIT = 128  # entries sharing a key that are paired by a plain equi-join
+RECALL = 0.95  # of pairs at the near-duplicate limit, by LSH
 BLOCK = 1024  # entries per side of one in-task comparison above that
 
 
@@ -80,14 +81,25 @@ def _band_keys(signature: Column, bands: int, rows: int) -> Column:
     return F.array(*[F.xxhash64(F.lit(b), F.slice(signature, b * rows + 1, rows)) for b in range(bands)])
 
 
-def lsh_candidates(signatures: DataFrame, bands: tuple[int, int] = L.BANDS) -> DataFrame:
+def bands_for(similarity: float, recall: float, num_perm: int = L.NUM_PERM) -> tuple[int, int]:
+    """(bands, rows): the most rows to a band with which pairs of the similarity share a band with
+    a probability of `recall` at least."""
+    for rows in range(num_perm, 0, -1):
+        bands = num_perm // rows
+        if 1 - (1 - similarity**rows) ** bands >= recall:
+            return bands, rows
+    raise ValueError("that recall needs more permutations")
+
+
+def lsh_candidates(signatures: DataFrame, bands: tuple[int, int] | None = None) -> DataFrame:
     """(review_id, band, bucket, members): the buckets a review shares with others.
 
-    Two reviews are candidates when they share a bucket. Keeping buckets instead
+    Without `bands` they are chosen so that pairs at the near-duplicate limit are found with a
+    probability of RECALL. Two reviews are candidates when they share a bucket. Keeping buckets instead
     of pairs makes the result linear in the number of reviews.
     """
     keyed = signatures.select(
-        "review_id", F.posexplode(_band_keys(F.col("signature"), *bands)).alias("band", "bucket")
+        "review_id", F.posexplode(_band_keys(F.col("signature"), *(bands or bands_for(L.NEAR_DUPLICATE_JACCARD, RECALL)))).alias("band", "bucket")
     )
     sizes = keyed.groupBy("band", "bucket").agg(F.count("*").alias("members")).filter("members > 1")
     return keyed.join(sizes, ["band", "bucket"]).select("review_id", "band", "bucket", "members")
@@ -218,14 +230,17 @@ def _features(reviews: DataFrame, members: DataFrame, classes: DataFrame, keys:
 
 
 def near_duplicates_lsh(
-    df: DataFrame, k: int = L.SHINGLE_WORDS, num_perm: int = L.NUM_PERM, bands: tuple[int, int] = L.BANDS,
+    df: DataFrame, k: int = L.SHINGLE_WORDS, num_perm: int = L.NUM_PERM, bands: tuple[int, int] | None = None,
     group_limit: int = GROUP_LIMIT, block: int = BLOCK,
 ) -> DataFrame:
     """(review_id, rule_near_duplicate, rule_max_jaccard) from banded signatures.
 
-    The flag is 1 when any bucket is shared; the similarity is the share of
-    agreeing signature positions with the best of all candidates.
+    The similarity is the share of agreeing signature positions with the best of all candidates.
+    The flag is 1 when it comes within two standard errors of the near-duplicate limit, so pairs
+    at the limit keep a recall above 0.9.
     """
+    limit = L.NEAR_DUPLICATE_JACCARD
+    least = limit - 2 * (limit * (1 - limit) / num_perm) ** 0.5
     keys = ["_k1", "_k2"]
     sig = F.col("signature")
     signed = stored(
@@ -238,8 +253,8 @@ def near_duplicates_lsh(
     entries = signed.select(F.col("review_id").alias("id"), F.col("signature").alias("items"), F.lit(num_perm).alias("n")).join(
         classes.select("id"), "id", "left_semi"
     )
-    keyed = entries.select("id", "n", F.explode(_band_keys(F.col("items"), *bands)).alias("key"))
-    partners = best_partner(keyed, entries, "agreement", 0.0, group_limit, block)
+    keyed = entries.select("id", "n", F.explode(_band_keys(F.col("items"), *(bands or bands_for(L.NEAR_DUPLICATE_JACCARD, RECALL, num_perm)))).alias("key"))
+    partners = best_partner(keyed, entries, "agreement", least, group_limit, block)
     result = classes.join(partners, "id", "left").select(
         *keys, F.when(F.col("copies") > 1, 1.0).otherwise(F.col("best")).alias("best")
     )
@@ -293,8 +308,8 @@ def near_duplicates_exact(
     return _features(sets, described.select("review_id", *keys), result, keys)
 
 
-def near_duplicate_features(df: DataFrame, exact: bool = False, **options) -> DataFrame:
-    """Append the two cross-review rule columns to a review table."""
+def near_duplicate_features(df: DataFrame, exact: bool = True, **options) -> DataFrame:
+    """Append the two cross-review rule columns to a review table; by LSH they are estimates."""
     found = near_duplicates_exact(df, **options) if exact else near_duplicates_lsh(df, **options)
     return df.join(found, "review_id")
 

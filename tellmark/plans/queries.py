@@ -1,7 +1,7 @@
 """Every operator as a query over the given tables: name -> (spark, sf_dir) -> DataFrame."""
 from __future__ import annotations
 
-import zlib
+import hashlib
 
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
@@ -327,6 +327,18 @@ def near_duplicates_lsh(spark, sf):
     return neardup.near_duplicates_lsh(documents(spark, sf))
 
 
+@query
+def lsh_recall_facts(spark, sf):
+    """Of the documents whose id is divisible by 50 and that have a near-duplicate among all
+    documents, whether LSH finds nine tenths or more; and of those it flags, how many have none."""
+    exact = neardup.near_duplicates_exact(documents(spark, sf)).select("review_id", F.col("rule_near_duplicate").alias("true"))
+    found = neardup.near_duplicates_lsh(documents(spark, sf)).select("review_id", F.col("rule_near_duplicate").alias("found"))
+    rows = exact.join(found, "review_id").filter("review_id % 50 = 0")
+    return rows.agg(
+        F.sum("true").cast("bigint").alias("near"), (F.sum(F.col("true") * F.col("found")) >= 0.9 * F.sum("true")).alias("recall_reached"),
+        (F.sum((1 - F.col("true")) * F.col("found")) <= 0.1 * F.count("*")).alias("few_wrong"))
+
+
 @query
 def near_duplicates_exact(spark, sf):
     found = neardup.near_duplicates_exact(documents(spark, sf))
@@ -348,17 +360,21 @@ def jaccard_scores(spark, sf):
 def screen_of(spark: SparkSession, sf: str) -> screen.Screen:
     """The screen stored for these tables under the shared folder; fitted whole where there is none.
 
-    The path holds the tables' content, so what a query returns does not depend on what ran before.
+    The path holds a digest of all the fit reads (every column of the reviews, the held-out
+    generator, the settings and the fitting modules), so what a query returns does not depend on
+    what ran before, and nothing stale is used.
     """
-    content = reviews(spark, sf).agg(F.count("*"), F.sum(F.xxhash64("review_id", "text", "label").cast("decimal(38,0)"))).first()
-    path = f"{checkpoint_root(spark).rstrip('/')}/screen-{hash_of(sf, *content)}"
+    rows = reviews(spark, sf)
+    whole = [F.sum(F.xxhash64(F.lit(seed), *rows.columns).cast("decimal(38,0)")) for seed in (1, 2)]
+    content = rows.agg(F.count("*"), *whole).first()
+    path = f"{checkpoint_root(spark).rstrip('/')}/screen-{digest_of(screen.version(), HELD_OUT, *rows.columns, *content)}"
     if not sinks.is_written(spark, f"{path}/metadata"):
         screen.fit(reviews(spark, sf), path, HELD_OUT)
     return screen.load(spark, path)
 
 
-def hash_of(*values) -> int:
-    return zlib.crc32(repr(values).encode())
+def digest_of(*values) -> str:
+    return hashlib.sha256(repr(values).encode()).hexdigest()
 
 
 @query

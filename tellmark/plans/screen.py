@@ -7,13 +7,16 @@ explaining read the threshold, medians and norms from there.
 """
 from __future__ import annotations
 
+import hashlib
+import inspect
+import sys
 from dataclasses import dataclass
 
 from pyspark.ml import PipelineModel
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tellmark import lexicon as L
-from tellmark.operators import bigram, evaluate, split
+from tellmark.operators import bigram, evaluate, neardup, profile, rules, split, style
 from tellmark.plans import base_model, detect, fusion
 from tellmark.sources import sinks
 
@@ -46,6 +49,12 @@ def roles(df: DataFrame, heldout: str, seed: int = 42) -> DataFrame:
     return pool.unionByName(df.filter(is_held).withColumn("split", F.lit("heldout")))
 
 
+def version() -> str:
+    """A digest of the code and settings that decide what `fit` stores."""
+    modules = (sys.modules[__name__], L, bigram, evaluate, neardup, split, style, rules, profile, base_model, detect, fusion)
+    return hashlib.sha256("".join(inspect.getsource(m) for m in modules).encode()).hexdigest()
+
+
 def fit(rows: DataFrame, path: str, heldout: str, rounds: int = 400, seed: int = 42) -> None:
     """Fit on the labelled rows and store everything under `path`. `rows` holds all reviews."""
     spark = rows.sparkSession
