@@ -692,7 +692,7 @@ def top_spans(spark, sf):
 # --- streaming --------------------------------------------------------------------------------------------
 
 def _stream(spark, sf):
-    rows = streams.review_stream(spark, sf, DOCUMENTS, "documents.parquet")
+    rows = streams.review_stream(spark, f"{sf}/documents.parque[t]", DOCUMENTS)  # as a pattern it may be one file or a folder of many
     return rows.select(F.col("doc_id").alias("review_id"), "text", F.lit(None).cast("double").alias("rating"))
 
 

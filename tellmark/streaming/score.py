@@ -13,8 +13,8 @@ from tellmark.plans.detect import text_features
 from tellmark.sources.cache import score_with_cache
 
 
-def review_stream(spark: SparkSession, path: str, fields: T.StructType, glob: str = "*.parquet") -> DataFrame:
-    return spark.readStream.schema(fields).option("pathGlobFilter", glob).parquet(path)
+def review_stream(spark: SparkSession, path: str, fields: T.StructType) -> DataFrame:
+    return spark.readStream.schema(fields).option("pathGlobFilter", "*.parquet").parquet(path)
 
 
 def score_stream(
