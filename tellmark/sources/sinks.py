@@ -1,6 +1,10 @@
 """Writers: parquet, CSV, resumable append, model metadata."""
 from __future__ import annotations
 
+import functools
+import operator
+import uuid
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -45,12 +49,44 @@ def is_written(spark: SparkSession, path: str) -> bool:
         return False
 
 
-def append_new(df: DataFrame, path: str, key: list[str]) -> None:
-    """Append only rows whose key the table lacks; a rerun adds nothing."""
-    have = read_if_present(df.sparkSession, path)
+def _log(path: str) -> str:
+    return f"{path.rstrip('/')}.commits"
+
+
+def append_new(df: DataFrame, path: str, key: list[str], batch: str | None = None) -> None:
+    """Append only rows whose key the table lacks, one of each key; a rerun adds nothing.
+
+    A batch is written to a folder of its own and counts from the moment its name is in the log
+    beside the table. A run that dies before has added nothing, for `read_appended` and so for the
+    next run, which writes the same rows again; given the same batch name, in place of its leftovers.
+    A name that is committed already does nothing. Null keys are keys. One writer at a time.
+    """
+    spark, name = df.sparkSession, f"b-{batch or uuid.uuid4().hex}"
+    log = _committed(spark, path)
+    if log is not None and not log.filter(F.col("batch") == name).isEmpty():
+        return
+    rows, have = df.dropDuplicates(key), read_appended(spark, path)
     if have is not None:
-        df = df.join(have.select(*key).distinct(), key, "left_anti")
-    df.write.mode("append").parquet(path)
+        same = [F.col(f"new.{k}").eqNullSafe(F.col(f"have.{k}")) for k in key]
+        rows = rows.alias("new").join(have.select(*key).alias("have"), functools.reduce(operator.and_, same), "left_anti")
+    rows.write.mode("overwrite").parquet(f"{path.rstrip('/')}/batch={name}")
+    spark.range(1).select(F.lit(name).alias("batch")).write.mode("overwrite").json(f"{_log(path)}/{name}")
+
+
+def _committed(spark: SparkSession, path: str) -> DataFrame | None:
+    """(batch) of the committed batches."""
+    try:
+        return spark.read.schema("batch string").json(f"{_log(path)}/*")
+    except AnalysisException as err:
+        if err.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return None
+
+
+def read_appended(spark: SparkSession, path: str) -> DataFrame | None:
+    """The rows of the committed batches of a table that `append_new` writes; None where there is none."""
+    log = _committed(spark, path)
+    return None if log is None else spark.read.parquet(path).join(log.distinct(), "batch", "left_semi").drop("batch")
 
 
 def write_metadata(

@@ -121,6 +121,22 @@ def test_append_twice_adds_nothing(spark):
     assert sorted(r["id"] for r in spark.read.parquet(path).collect()) == [0, 1, 2, 3, 4]
 
 
+def test_append_survives_a_run_that_dies(spark, monkeypatch):
+    path = scratch_path(spark, "append")
+    rows = spark.createDataFrame([(1, "a"), (2, "b"), (2, "c"), (None, "d"), (None, "d")], "id long, text string")
+    assert sinks.read_appended(spark, path) is None
+    sinks.append_new(rows.filter("id = 1"), path, ["id"])
+    with monkeypatch.context() as m:  # killed between the rows and their commit
+        m.setattr(sinks, "_log", lambda p: (_ for _ in ()).throw(KeyboardInterrupt()) if Path(path, "batch=b-second").exists() else f"{p}.commits")
+        with pytest.raises(KeyboardInterrupt):
+            sinks.append_new(rows, path, ["id"], "second")
+    assert [r.id for r in sinks.read_appended(spark, path).collect()] == [1]
+    for name in ("second", None, "second"):
+        sinks.append_new(rows, path, ["id"], name)
+    got = sinks.read_appended(spark, path).collect()
+    assert sorted(str(r.id) for r in got) == ["1", "2", "None"] and got[0].asDict().keys() == {"id", "text"}
+
+
 def test_cache_scores_each_text_once(spark):
     path, asked = scratch_path(spark, "cache"), []
 
