@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from tellmark import lexicon as L, schema
 from tellmark.operators.bigram import perplexity_features
+from tellmark.operators.boosting import BoostedTrees
 from tellmark.operators.neardup import near_duplicate_features
 from tellmark.operators.profile import impute, impute_median
 from tellmark.operators.rules import rule_features
@@ -36,21 +37,21 @@ def all_features(df: DataFrame, base: PipelineModel, lm: DataFrame, neardup: boo
     return wide.select("*", *[F.lit(0.0).alias(f) for f in L.NEAR_DUPLICATE_FEATURES])
 
 
-def train_fusion(features: DataFrame, **params) -> tuple[PipelineModel, DataFrame]:
+def train_fusion(features: DataFrame, **params) -> tuple[BoostedTrees, DataFrame]:
     """(model, medians): medians come from the rows the model is fitted on and are
     reused for everything scored later."""
     ready, medians = impute_median(features, L.FEATURES)
     return fit_fusion(ready.filter("label is not null"), **params), medians
 
 
-def detect(features: DataFrame, model: PipelineModel, medians: DataFrame, thr: float) -> DataFrame:
+def detect(features: DataFrame, model: BoostedTrees, medians: DataFrame, thr: float) -> DataFrame:
     """Append `fusion_prob`, `fusion_pred` and `verdict` to a feature table."""
     scored = score_fusion(impute(features, medians, feature_order(model)), model, thr)
     return scored.withColumn("verdict", verdict(F.col("fusion_prob"), thr))
 
 
 def explain(
-    scored: DataFrame, model: PipelineModel, base: PipelineModel | None, norms: dict | None = None,
+    scored: DataFrame, model: BoostedTrees, base: PipelineModel | None, norms: dict | None = None,
     attribute: Callable[[DataFrame], DataFrame] | None = None, cache_path: str | None = None,
 ) -> DataFrame:
     """Reasons, highlighted spans, summary and the nested explanation for scored reviews.

@@ -16,7 +16,8 @@ from pyspark.ml import PipelineModel
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tellmark import lexicon as L
-from tellmark.operators import bigram, evaluate, neardup, profile, rules, split, style
+from tellmark.operators import bigram, boosting, evaluate, neardup, profile, rules, split, style
+from tellmark.operators.boosting import BoostedTrees
 from tellmark.plans import base_model, detect, fusion
 from tellmark.sources import sinks
 
@@ -26,7 +27,7 @@ TRAIN, VALIDATION = 0.6, 0.2  # of the pool; the rest is halved into tuning and
 @dataclass
 class Screen:
     base: PipelineModel
-    fusion: PipelineModel
+    fusion: BoostedTrees
     features: DataFrame
     threshold: float
     metrics: dict[str, float]
@@ -51,7 +52,7 @@ def roles(df: DataFrame, heldout: str, seed: int = 42) -> DataFrame:
 
 def version() -> str:
     """A digest of the code and settings that decide what `fit` stores."""
-    modules = (sys.modules[__name__], L, bigram, evaluate, neardup, split, style, rules, profile, base_model, detect, fusion)
+    modules = (sys.modules[__name__], L, bigram, boosting, evaluate, neardup, split, style, rules, profile, base_model, detect, fusion)
     return hashlib.sha256("".join(inspect.getsource(m) for m in modules).encode()).hexdigest()
 
 
@@ -61,7 +62,7 @@ def fit(rows: DataFrame, path: str, heldout: str, rounds: int = 400, seed: int =
     parts = roles(rows.filter("label is not null"), heldout, seed)
     train = parts.filter("split = 'train'")
     base = base_model.fit_base_classifier(train, parts.filter("split = 'validation'"))
-    fusion.save_model(base, f"{path}/base")
+    base.write().overwrite().save(f"{path}/base")
     lm = bigram.fit_bigram_lm(train)
     wide = detect.all_features(rows, base, lm).join(parts.select("review_id", "split"), "review_id", "left")
     sinks.write_table(wide, f"{path}/features")
@@ -81,7 +82,7 @@ def load(spark: SparkSession, path: str) -> Screen:
     if list(meta.features) != L.FEATURES:
         raise ValueError("the stored screen was fitted on other features")
     return Screen(
-        fusion.load_model(f"{path}/base"), fusion.load_model(f"{path}/fusion"), spark.read.parquet(f"{path}/features"),
+        PipelineModel.load(f"{path}/base"), fusion.load_model(f"{path}/fusion"), spark.read.parquet(f"{path}/features"),
         meta.best_threshold, dict(meta.metrics_at_best), dict(meta.medians), {k: v for k, v in meta.norms.items() if v is not None})
 
 

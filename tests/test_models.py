@@ -3,7 +3,6 @@ import math
 import random
 
 import pytest
-from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from tellmark import lexicon as L
@@ -117,7 +116,7 @@ def test_contributions_add_up_to_the_margin(fitted):
     from tellmark.operators.profile import impute
 
     rows = fusion.feature_contributions(impute(wide, medians, L.FEATURES), model)
-    rows = model.transform(rows).select("contributions", (2 * vector_to_array("rawPrediction")[1]).alias("margin")).collect()
+    rows = fusion.score_fusion(rows, model, 0.5).select("contributions", F.ln(F.col("fusion_prob") / (1 - F.col("fusion_prob"))).alias("margin")).collect()
     bias = fusion.expected_margin(model)
     for r in rows:
         assert sum(r["contributions"]) + bias == pytest.approx(r["margin"], abs=1e-9)
@@ -131,17 +130,17 @@ def test_contributions_equal_shapley_by_definition():
     import pandas as pd
 
     leaves = [
-        (1.5, {0: (-np.inf, 1.0, 0.4), 2: (0.0, 2.0, 0.3), 1: (-np.inf, 0.5, 0.7)}),
-        (-0.5, {1: (0.5, np.inf, 0.3)}), (2.0, {}),
+        (1.5, {0: (-np.inf, 1.0, 0.4, False), 2: (0.0, 2.0, 0.3, True), 1: (-np.inf, 0.5, 0.7, True)}),
+        (-0.5, {1: (0.5, np.inf, 0.3, False)}), (2.0, {}),
     ]
-    x = np.array([[0.5, 0.1, 1.0], [2.0, 0.9, 1.0]])
+    x = np.array([[0.5, 0.1, 1.0], [2.0, 0.9, 1.0], [0.5, np.nan, np.nan], [np.nan, 0.2, 1.0]])
     got = fusion._contribution_udf(leaves, 3).func(pd.Series(list(x)))
 
     def value(row, known):
         total = 0.0
         for margin, path in leaves:
-            for f, (lo, hi, share) in path.items():
-                margin *= float(lo < row[f] <= hi) if f in known else share
+            for f, (lo, hi, share, gone) in path.items():
+                margin *= float(lo < row[f] <= hi or np.isnan(row[f]) and gone) if f in known else share
             total += margin
         return total
 
