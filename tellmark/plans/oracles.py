@@ -333,6 +333,33 @@ offsets as (select review_id, text, lower(text) as token,
  from steps),
 spans as (select review_id, ("end" - length(text))::bigint as start, "end"::bigint as "end", text, token from offsets)"""
 
+def _discounted(order: str, counts: str, context: str) -> str:
+    """CTEs with the discounts of an order, its contexts and its shares."""
+    step = lambda k: f"least(greatest(coalesce({k} - {k + 1} * y * n{k + 1} / nullif(n{k}, 0), y), 0.1), {k})"
+    inside = f"using ({context})" if context else "on true"
+    return f"""
+n{order} as (select {", ".join(f"count(*) filter (where c = {k})::double as n{k}" for k in (1, 2, 3, 4))} from {counts}),
+y{order} as (select *, coalesce(n1 / nullif(n1 + 2 * n2, 0), 0.5) as y from n{order}),
+d{order} as (select t.*, case c when 1 then {step(1)} when 2 then {step(2)} else {step(3)} end::double as d from {counts} t, y{order}),
+b{order} as (select {context + "," if context else ""} sum(c)::double as total, sum(d) / sum(c) as g, count(*) as known from d{order} {"group by " + context if context else ""}),
+p{order} as (select d{order}.* exclude (c, d), (c - d) / total as p from d{order} join b{order} {inside})"""
+
+
+def _placed(table: str, key: str) -> str:
+    seq = "['<s>', '<s>'] || ws || ['</s>']"
+    return f"""(select {key}, seq[i] as w1, seq[i + 1] as w2, seq[i + 2] as w3 from (select {key}, {seq} as seq, unnest(range(1, len(ws) + 2)) as i
+ from (select {key}, regexp_extract_all(lower(coalesce(text, '')), '[a-z'']+') as ws from {table}) where len(ws) > 0))"""
+
+
+KNESER_NEY = f"""with c3 as (select w1, w2, w3, count(*) as c from {_placed('documents', 'doc_id')} group by all),
+c2 as (select w2, w3, count(*) as c from c3 group by all), c1 as (select w3, count(*) as c from c2 group by all),
+{_discounted('3', 'c3', 'w1, w2')}, {_discounted('2', 'c2', 'w2')}, {_discounted('1', 'c1', '')},
+met as (select item_id, w1, w2, w3, count(*) as n from {_placed('benchmark', 'item_id')} group by all),
+asked as (select met.*, ln(coalesce(p3.p, 0) + coalesce(b3.g, 1) * (coalesce(p2.p, 0) + coalesce(b2.g, 1) * (coalesce(p1.p, 0) + b1.g / (b1.known + 1)))) as ln
+ from met left join p3 using (w1, w2, w3) left join b3 using (w1, w2) left join p2 using (w2, w3) left join b2 using (w2) left join p1 using (w3), b1)
+select item_id, sum(n)::bigint as predicted, round(exp(-sum(n * ln) / sum(n)), 4) as perplexity from asked group by item_id"""
+
+
 ORACLES = {
     "read_reviews": f"with {REVIEWS} select review_id, category, rating, text, label from reviews",
     "csv_round_trip": f"with {REVIEWS} select review_id, category, rating, text, label, _model, null::double as _temp from reviews",
@@ -396,6 +423,7 @@ select review_id, case when label is not null then mean_word_length else mid end
     "rule_features": f"with {REVIEWS}, {RULES} select * from rules",
     "fit_bigram_lm": f"with {REVIEWS}, {NEIGHBOURS} select w1, w2, n from lm",
     "perplexity_features": f"""with {REVIEWS}, {PERPLEXITY} select review_id, {', '.join(f'round({f}, 4) as {f}' for f in L.PERPLEXITY_FEATURES)} from perplexed""",
+    "kneser_ney_perplexity": KNESER_NEY,
     "human_norms": f"""with {REVIEWS}, {STYLE}, {PERPLEXITY} select {', '.join(f'round(avg({f}), 4) as {f}' for f in L.HUMAN_NORMS)}
 from style join perplexed using (review_id) where label = 0""",
     "shingles": f"with {SHINGLES} select review_id, count(*) as n, min(shingle) as first, max(shingle) as last from shingles group by review_id",

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from tellmark import lexicon as L, schema
 from tellmark.functions import text as X
-from tellmark.operators import bigram, clean, evaluate, neardup, profile, rules, split, style, verdict
+from tellmark.operators import bigram, clean, evaluate, kneser_ney, neardup, profile, rules, split, style, verdict
 from tellmark.plans import attributions, base_model, detect, fusion, screen
 from tellmark.session import checkpoint_root, scratch_path, stored
 from tellmark.sources import cache, sinks, tables
@@ -472,6 +472,14 @@ def assemble_features(spark, sf):
     )
 
 
+@query
+def kneser_ney_perplexity(spark, sf):
+    """Perplexity of every benchmark text, which the model counted over all documents has not seen."""
+    lm = kneser_ney.fit(documents(spark, sf))
+    asked = spark.read.parquet(f"{sf}/benchmark.parquet").select("item_id", "text")
+    return kneser_ney.perplexity(asked, lm, "item_id").withColumn("perplexity", F.round("perplexity", 4))
+
+
 @query
 def screen_roles(spark, sf):
     """Which part of the flow each labelled review belongs to."""
