@@ -8,13 +8,15 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window as W, functions as F
 
-from tellmark.llm.common import documents, present, shuffle_parts, without
+from tellmark.llm.common import documents, present, without
 from tellmark.session import stored
 
 SHARDS = 24
 BUCKET_BYTES = 8 << 20
 #: Buckets whose counts are summed before the sums are.
 GROUP = 1024
+#: Most tasks of the second pass; a table of more buckets has several to a task, one held at a time.
+TASKS = 100_000
 
 
 def record_size(text: Column) -> Column:
@@ -38,9 +40,10 @@ def shuffled_shards(
     """The input with shard (0 to shards - 1) and slot (0, 1, ... within the shard), which replace
     columns of these names.
 
-    The order depends on the seed and the rows only, not on how the input is partitioned. Null ids
-    and texts are values like others; rows that repeat id and text share a bucket; an empty table
-    gives an empty result. Columns must be orderable (no maps).
+    The order depends on the seed, the rows and bucket_bytes only, not on how the input is
+    partitioned or on the session's shuffle partitions. Null ids and texts are values like others;
+    rows that repeat id and text share a bucket; a very long text makes its bucket larger by itself;
+    an empty table gives an empty result. Columns must be orderable (no maps).
     """
     spread = F.xxhash64(F.lit(seed), F.col(id_col), F.col(text_col))
     total = docs.agg(F.sum(record_size(F.col(text_col))), F.count("*")).first()
@@ -48,11 +51,11 @@ def shuffled_shards(
     bucket = F.pmod(spread, F.lit(buckets)).cast("bigint")
     starts = stored(_starts(docs.groupBy(bucket.alias("bucket")).agg(F.count("*").alias("n"))), "bucket-starts")
 
-    tasks = max(shuffle_parts(docs), buckets)
     kept = without(docs, "shard", "slot")
     scattered = docs.select(
         bucket.alias("bucket"), F.struct(F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.struct(*kept).alias("record")).alias("row"))
-    scattered = scattered.repartition(tasks, "bucket")
+    # The number of tasks follows from the rows alone, and with it the task that draws for a bucket.
+    scattered = scattered.repartition(min(buckets, TASKS), "bucket")
     held = scattered.groupBy("bucket").agg(F.sort_array(F.collect_list("row")).alias("rows")).join(starts, "bucket")
     # Fisher-Yates draws on from bucket to bucket of a task, so their order is fixed.
     drawn = held.sortWithinPartitions("bucket").select("start", F.shuffle("rows", F.lit(seed)).alias("rows"))

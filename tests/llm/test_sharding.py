@@ -3,6 +3,7 @@ from collections import Counter
 import pytest
 from pyspark.sql import functions as F
 
+from tellmark.llm import sharding
 from tellmark.llm.sharding import record_size, shuffled_shards, write_shards
 
 
@@ -35,6 +36,26 @@ def test_order(spark):
     assert neighbours[1] < 12
 
 
+@pytest.mark.parametrize("tasks", [100_000, 3])
+def test_order_does_not_follow_the_session(spark, monkeypatch, tasks):
+    monkeypatch.setattr(sharding, "TASKS", tasks)
+    setting, places = "spark.sql.shuffle.partitions", []
+    before = spark.conf.get(setting)
+    try:
+        for parts in ("2", "31"):
+            spark.conf.set(setting, parts)
+            places.append({r.doc_id: (r.shard, r.slot) for r in shuffled_shards(table(spark, 800), bucket_bytes=3000).collect()})
+    finally:
+        spark.conf.set(setting, before)
+    assert places[0] == places[1]
+
+
+def test_very_long_texts(spark):
+    df = spark.range(60).select(F.col("id").alias("doc_id"), F.expr("repeat('é', if(id = 7, 2000000, 3))").alias("text"))
+    got = shuffled_shards(df, bucket_bytes=1 << 20).select("doc_id", F.length("text").alias("n"), "shard").collect()
+    assert sorted((r.doc_id, r.n) for r in got) == [(i, 2_000_000 if i == 7 else 3) for i in range(60)]
+
+
 def test_every_order_of_a_bucket_is_drawn(spark):
     df = spark.createDataFrame([(i, "t") for i in range(3)], "doc_id bigint, text string")
     seen = Counter(tuple(r.doc_id for r in sorted(shuffled_shards(df, shards=1, seed=s).collect(), key=lambda r: r.slot)) for s in range(40))
