@@ -4,6 +4,7 @@ from __future__ import annotations
 import functools
 import re
 import sys
+import types
 from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
@@ -60,18 +61,37 @@ def base_prob(df: DataFrame, model: PipelineModel) -> DataFrame:
     return scored.select(*df.columns, "base_prob")
 
 
-def score_with_model(df: DataFrame, loader: Callable, schema: str) -> DataFrame:
-    """Score with any pretrained model: `loader()` runs once per Python worker task and
-    returns a function from one pandas batch to one pandas batch of `schema`."""
+def score_with_model(df: DataFrame, loader: Callable, schema: str, version: str | None = None, files: Iterable[str] = ()) -> DataFrame:
+    """Score with any pretrained model: `loader()` returns a function from one pandas batch to one
+    pandas batch of `schema`.
+
+    With a `version` the loader runs once in each Python worker process, however many tasks and
+    queries it serves; another version is loaded beside it. Without one it runs once a task.
+    `files` (files or folders) are sent with the job; the loader finds them by
+    `pyspark.SparkFiles.get(name)`.
+    """
+    for file in files:
+        df.sparkSession.sparkContext.addFile(file, recursive=True)
 
     def run(batches: Iterator) -> Iterator:
-        predict = loader()
+        predict = loader() if version is None else _held(version, loader)
         for batch in batches:
             yield predict(batch)
 
     return df.mapInPandas(run, schema)
 
 
+def _held(version: str, loader: Callable) -> Callable:
+    """The worker's model of a version. This module travels by value, so what it holds would be lost
+    with the task; a module entry stays as long as the process. The last two versions are held."""
+    models = sys.modules.setdefault("_tellmark_models", types.ModuleType("_tellmark_models")).__dict__.setdefault("models", {})
+    if version not in models:
+        for old in list(models)[:-1]:
+            del models[old]
+        models[version] = loader()
+    return models[version]
+
+
 def word_bucket(word: str, buckets: int) -> int:
     """The bucket HashingTF files a word under: 32-bit MurmurHash3 of its UTF-8 bytes, seed 42."""
     data, h = word.encode(), 42

@@ -33,6 +33,7 @@ class Screen:
     metrics: dict[str, float]
     medians: dict[str, float]
     norms: dict[str, float]
+    lm: DataFrame
 
     def median_table(self, spark: SparkSession) -> DataFrame:
         return spark.createDataFrame(list(self.medians.items()), "feature string, median double")
@@ -40,6 +41,10 @@ class Screen:
     def detect(self, features: DataFrame) -> DataFrame:
         return detect.detect(features, self.fusion, self.median_table(features.sparkSession), self.threshold)
 
+    def detect_alone(self, rows: DataFrame) -> DataFrame:
+        """Verdicts of reviews that are scored on their own: cross-review features are 0."""
+        return self.detect(detect.all_features(rows, self.base, self.lm, neardup=False))
+
 
 def roles(df: DataFrame, heldout: str, seed: int = 42) -> DataFrame:
     """Append `split`: heldout for one generator; train, validation, tune or test for all others."""
@@ -63,7 +68,8 @@ def fit(rows: DataFrame, path: str, heldout: str, rounds: int = 400, seed: int =
     train = parts.filter("split = 'train'")
     base = base_model.fit_base_classifier(train, parts.filter("split = 'validation'"))
     base.write().overwrite().save(f"{path}/base")
-    lm = bigram.fit_bigram_lm(train)
+    sinks.write_table(bigram.fit_bigram_lm(train), f"{path}/bigrams")
+    lm = spark.read.parquet(f"{path}/bigrams")
     wide = detect.all_features(rows, base, lm).join(parts.select("review_id", "split"), "review_id", "left")
     sinks.write_table(wide, f"{path}/features")
     wide = spark.read.parquet(f"{path}/features")
@@ -83,7 +89,8 @@ def load(spark: SparkSession, path: str) -> Screen:
         raise ValueError("the stored screen was fitted on other features")
     return Screen(
         PipelineModel.load(f"{path}/base"), fusion.load_model(f"{path}/fusion"), spark.read.parquet(f"{path}/features"),
-        meta.best_threshold, dict(meta.metrics_at_best), dict(meta.medians), {k: v for k, v in meta.norms.items() if v is not None})
+        meta.best_threshold, dict(meta.metrics_at_best), dict(meta.medians), {k: v for k, v in meta.norms.items() if v is not None},
+        spark.read.parquet(f"{path}/bigrams"))
 
 
 def report(screen: Screen) -> DataFrame:
