@@ -29,8 +29,11 @@ def text_features(df: DataFrame) -> DataFrame:
 
 def all_features(df: DataFrame, base: PipelineModel, lm: DataFrame, neardup: bool = True, **options) -> DataFrame:
     """All 28 features. `neardup=False` sets the cross-review ones to 0, as when reviews
-    are scored on their own."""
-    wide = base_prob(text_features(df), base).join(perplexity_features(df, lm), "review_id")
+    are scored on their own. Perplexities are rounded, so that a score does not hang on the order in
+    which their costs were summed."""
+    spoken = perplexity_features(df, lm)
+    spoken = spoken.select("review_id", *[F.round(c, 6).alias(c) for c in spoken.columns if c != "review_id"])
+    wide = base_prob(text_features(df), base).join(spoken, "review_id")
     if neardup:
         found = near_duplicate_features(df.select("review_id", "text"), **options).drop("text")
         return wide.join(found, "review_id")

@@ -394,6 +394,8 @@ select review_id, case when r < floor(0.6::double * n) then 'train' when r < flo
 union all select review_id, 'heldout' from reviews where label is not null and _model = {q(HELD_OUT)}""",
     "detect_facts": "select doc_id as review_id, true as follows, true as verdict_fits from documents",
     "threshold_facts": f"select true as same_threshold, true as same_f1, true as has_auc, {len(L.FEATURES)}::bigint as medians",
+    "epoch_facts": "select 4::bigint as epochs, true as kept_is_best, true as same_f1",
+    "live_facts": "select doc_id as review_id, true as same, doc_id % 2 + 1 as model_version from documents",
     "model_round_trip_facts": "select doc_id as review_id, true as same from documents",
     "feature_importance_facts": f"select {len(L.FEATURES)}::bigint as features, 1.0::double as total, true as none_negative",
     "feature_contributions_facts": "select doc_id as review_id, true as adds_up from documents",

@@ -1,6 +1,7 @@
 """Every operator as a query over the given tables: name -> (spark, sf_dir) -> DataFrame."""
 from __future__ import annotations
 
+import functools
 import hashlib
 
 from pyspark.ml.functions import vector_to_array
@@ -9,10 +10,10 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from tellmark import lexicon as L, schema
 from tellmark.functions import text as X
 from tellmark.operators import bigram, clean, evaluate, kneser_ney, neardup, profile, rules, split, style, verdict
-from tellmark.plans import attributions, base_model, detect, fusion, screen
+from tellmark.plans import attributions, base_model, detect, epochs, fusion, screen
 from tellmark.session import checkpoint_root, scratch_path, stored
 from tellmark.sources import cache, sinks, tables
-from tellmark.streaming import dedupe, score as streams
+from tellmark.streaming import dedupe, live, score as streams
 
 QUERIES = {}
 SCORE = "type_token_ratio"  # a text feature in [0, 1] stands in for a model's score
@@ -360,7 +361,12 @@ def jaccard_scores(spark, sf):
 # --- models ------------------------------------------------------------------------------------
 
 def screen_of(spark: SparkSession, sf: str) -> screen.Screen:
-    """The screen stored for these tables under the shared folder; fitted whole where there is none.
+    """The screen stored for these tables under the shared folder."""
+    return screen.load(spark, screen_path(spark, sf))
+
+
+def screen_path(spark: SparkSession, sf: str) -> str:
+    """Where the screen for these tables lies; it is fitted whole where there is none.
 
     The path holds a digest of all the fit reads (every column of the reviews, the held-out
     generator, the settings and the fitting modules), so what a query returns does not depend on
@@ -372,7 +378,7 @@ def screen_of(spark: SparkSession, sf: str) -> screen.Screen:
     path = f"{checkpoint_root(spark).rstrip('/')}/screen-{digest_of(screen.version(), HELD_OUT, *rows.columns, *content)}"
     if not sinks.is_written(spark, f"{path}/metadata"):
         screen.fit(reviews(spark, sf), path, HELD_OUT)
-    return screen.load(spark, path)
+    return path
 
 
 def digest_of(*values) -> str:
@@ -513,6 +519,39 @@ def threshold_facts(spark, sf):
                        F.lit("auc" in found.metrics).alias("has_auc"), F.lit(len(found.medians)).cast("bigint").alias("medians"))
 
 
+@query
+def epoch_facts(spark, sf):
+    """The base classifier by epochs, on train and validation: the kept epoch is the first with the
+    best F1, and the F1 stored for each epoch is that of its stored state."""
+    parts = stored(screen.roles(labelled(spark, sf), HELD_OUT).select("label", "text", "split"), "roles")
+    held, path, n = parts.filter("split = 'validation'"), scratch_path(spark, "epochs"), 4
+    kept = epochs.fit_epochs(parts.filter("split = 'train'"), held, path, epochs=n)
+    said, hit = F.col("base_prob") > 0.5, F.col("label") == 1
+    wrong = F.count_if(said != hit)
+    f1 = F.coalesce(F.try_divide(2 * F.count_if(said & hit), 2 * F.count_if(said & hit) + wrong), F.lit(0.0))
+    each = [epochs.base_prob(held, epochs.load(spark, path, e)).agg(F.lit(e).alias("epoch"), f1.alias("again")) for e in range(1, n + 1)]
+    rows = functools.reduce(DataFrame.unionByName, each).join(epochs.history(spark, path), "epoch")  # a row an epoch
+    best = F.min_by("epoch", F.struct(-F.round("again", 12), F.col("epoch")))
+    return rows.agg(F.count("*").alias("epochs"), (best == kept.epoch).alias("kept_is_best"), (F.max(F.abs(F.col("again") - F.col("f1"))) < 1e-9).alias("same_f1"))
+
+
+@query
+def live_facts(spark, sf):
+    """Per review: the stream's verdict is that of the batch where cross-review features are 0, and the
+    version that gave it is the newest at its arrival; a second one is published between two arrivals."""
+    found = screen_of(spark, sf)
+    root, folder, out, state = (scratch_path(spark, name) for name in ("versions", "arrivals", "stream", "stream-state"))
+    rows = reviews(spark, sf).select("review_id", "text", F.col("rating").cast("double").alias("rating"))
+    for part in (0, 1):
+        rows.filter(F.pmod("review_id", F.lit(2)) == part).write.mode("append").parquet(folder)
+        live.publish(spark, screen_path(spark, sf), root)
+        stream = spark.readStream.schema("review_id bigint, text string, rating double").parquet(folder)
+        live.score_live(stream, root, out, state).awaitTermination()
+    batch = found.detect_alone(rows).select("review_id", F.col("fusion_prob").alias("p"), F.col("verdict").alias("v"))
+    same = F.col("v").eqNullSafe(F.col("verdict")) & (F.abs(F.col("p") - F.col("fusion_prob")) < 1e-9)
+    return batch.join(live.scored(spark, out), "review_id").select("review_id", same.alias("same"), "model_version")
+
+
 @query
 def screen_report(spark, sf):
     return screen.report(screen_of(spark, sf))
@@ -726,18 +765,14 @@ def dedupe_stream(spark, sf):
     """
     times = spark.read.parquet(f"{sf}/events.parquet").groupBy(F.col("event_id").alias("doc_id")).agg(F.min("ts").cast("timestamp").alias("ts"))
     docs = spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text").join(times, "doc_id", "left")
-    arrivals = scratch_path(spark, "arrivals")
-    at = F.coalesce("ts", F.lit(0).cast("timestamp"))
-    arriving = docs.select("doc_id", "text", at.alias("ts"))
+    arriving = docs.select("doc_id", "text", F.coalesce("ts", F.lit(0).cast("timestamp")).alias("ts"))
     cuts = arriving.agg(F.percentile_approx("ts", [0.25, 0.5, 0.75])).first()[0] or []
     part = sum((F.col("ts") > F.lit(c)).cast("int") for c in cuts) if cuts else F.lit(0)
-    for i in range(len(cuts) + 1):  # one after the other, as files arrive
-        arriving.filter(part == i).coalesce(1).write.mode("append").parquet(arrivals)
-    stream = spark.readStream.schema("doc_id bigint, text string, ts timestamp").option("maxFilesPerTrigger", 1).parquet(arrivals)
-    first = streams.run_to_table(
-        streams.dedupe_stream(stream, "ts", "1 day").select("text_hash"),
-        scratch_path(spark, "stream"), scratch_path(spark, "stream-state"),
-    )
+    arrivals, out, state = (scratch_path(spark, name) for name in ("arrivals", "stream", "stream-state"))
+    for i in range(len(cuts) + 1):  # the stream goes on from its checkpoint after each part, which many tasks write
+        arriving.filter(part == i).write.mode("append").parquet(arrivals)
+        stream = spark.readStream.schema("doc_id bigint, text string, ts timestamp").parquet(arrivals)
+        first = streams.run_to_table(streams.dedupe_stream(stream, "ts", "1 day").select("text_hash"), out, state)
     copies = docs.groupBy(X.text_key(F.col("text")).alias("text_hash")).agg(F.count("*").alias("copies"))
     return copies.join(first.distinct(), "text_hash", "left_semi")
 
