@@ -523,8 +523,8 @@ def threshold_facts(spark, sf):
 def epoch_facts(spark, sf):
     """The base classifier by epochs, on train and validation: the kept epoch is the first with the
     best F1, and the F1 stored for each epoch is that of its stored state."""
-    parts = stored(screen.roles(labelled(spark, sf), HELD_OUT).select("label", "text", "split"), "roles")
-    held, path, n = parts.filter("split = 'validation'"), scratch_path(spark, "epochs"), 4
+    parts = screen.roles(labelled(spark, sf), HELD_OUT).select("label", "text", "split")
+    held, path, n = stored(parts.filter("split = 'validation'"), "validation"), scratch_path(spark, "epochs"), 4
     kept = epochs.fit_epochs(parts.filter("split = 'train'"), held, path, epochs=n)
     said, hit = F.col("base_prob") > 0.5, F.col("label") == 1
     wrong = F.count_if(said != hit)

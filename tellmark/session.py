@@ -1,8 +1,10 @@
 """Session defaults and the shared scratch folder."""
 from __future__ import annotations
 
+import contextlib
 import tempfile
 import uuid
+from collections.abc import Iterator
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -52,17 +54,26 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{checkpoint_root(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
-    """Write once to the shared folder and read back: lineage ends here, later reads are
-    pruned column by column, and a lost executor costs no recomputation. The shuffle files
-    that led to the table go as soon as it is written."""
-    spark, cleanup = df.sparkSession, "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
-    path, before = scratch_path(spark, name), spark.conf.get(cleanup, None)
+@contextlib.contextmanager
+def without_shuffle_files(spark: SparkSession) -> Iterator[None]:
+    """Shuffle files of a write that is made inside go as soon as it is done, where Spark can do so."""
+    cleanup = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(cleanup, None)
     if before is not None:
         spark.conf.set(cleanup, "true")
     try:
-        df.write.parquet(path)
+        yield
     finally:
         if before is not None:
             spark.conf.set(cleanup, before)
+
+
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """Write once to the shared folder and read back: lineage ends here, later reads are
+    pruned column by column, and a lost executor costs no recomputation. The shuffle files
+    that led to the table go as soon as it is written."""
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    with without_shuffle_files(spark):
+        df.write.parquet(path)
     return spark.read.parquet(path)
