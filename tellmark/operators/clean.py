@@ -21,7 +21,7 @@ def filter_refusals(df: DataFrame) -> DataFrame:
 
 def unwrapped(text: Column) -> Column:
     """Cut leading asterisks, then leading hashes, then blanks at both ends."""
-    no_stars = F.regexp_replace(text, rf"^\*+{L.WS}*", "")
+    no_stars = F.when(text.startswith("*"), F.regexp_replace(text, rf"^\*+{L.WS}*", "")).otherwise(text)
     return X.strip(F.regexp_replace(no_stars, f"^#+{L.WS}*", ""))
 
 

@@ -5,6 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tellmark import lexicon as L, schema
+from tellmark.functions import text as X
 from tellmark.operators import clean, profile, split
 from tellmark.session import scratch_path, stored
 from tellmark.sources import cache, sinks, tables
@@ -224,3 +225,16 @@ def test_rows_without_generator_stay_in_the_pool(spark):
     df = spark.createDataFrame([(1, "a"), (2, "b"), (3, None)], "review_id long, _model string")
     held, pool = split.holdout_generator(df, "a")
     assert [r.review_id for r in held.collect()] == [1] and sorted(r.review_id for r in pool.collect()) == [2, 3]
+
+
+def test_strip_looks_at_the_ends_only_and_knows_all_blanks(spark):
+    blanks = [*range(9, 14), *range(0x1C, 0x21), 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000]
+    others = [0x08, 0x0E, 0x1B, 0x84, 0x86, 0x200B, 0x180E, 0xFEFF, 0x1F600]
+    rows = [(f"{chr(c)}a{chr(c)}b{chr(c)}", f"a{chr(c)}b") for c in blanks] + [(f"{chr(c)}a{chr(c)}", f"{chr(c)}a{chr(c)}") for c in others]
+    rows += [("".join(map(chr, blanks)), ""), ("", ""), (None, None), ("***  ## a # ", "a #"), ("#* a", "* a"), (" * a", "* a")]
+    df = spark.createDataFrame([r for r in rows if not (r[0] or "").startswith(("*", "#", " *"))], "text string, want string")
+    stripped = df.select(X.strip(F.col("text")).alias("got"), "want")
+    assert all(r["got"] == r["want"] for r in stripped.collect())
+    assert "regexp" not in stripped._jdf.queryExecution().optimizedPlan().toString()
+    marked = spark.createDataFrame([r for r in rows if (r[0] or "").startswith(("*", "#", " *"))], "text string, want string")
+    assert all(r["got"] == r["want"] for r in marked.select(clean.unwrapped(F.col("text")).alias("got"), "want").collect())
