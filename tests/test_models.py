@@ -55,6 +55,23 @@ def scores(spark):
     return rows, spark.createDataFrame(rows, "score double, label int")
 
 
+
+def test_perplexity_stores_words_but_no_row_or_cost_of_each_bigram(spark, monkeypatch):
+    rows = [(1, "a b c a b. c a b! Zz yy", 1), (1, "a b", 1), (2, "a a a a", 0), (3, None, 0), (4, "new words only here", 1), (None, "a b c", 1), (5, "One", 0)]
+    df = spark.createDataFrame(rows, "review_id bigint, text string, label int")
+    lm, kept = bigram.fit_bigram_lm(df.filter("review_id < 3")), []
+    store = bigram.stored
+    monkeypatch.setattr(bigram, "stored", lambda table, name: kept.append(table.columns) or store(table, name))
+    got = bigram.perplexity_features(df, lm).collect()
+    assert kept == [["review_id", "spoken", "ws", "seqs"]] and len(got) == 7
+    counts = {(r["w1"], r["w2"]): r["n"] for r in lm.collect()}
+    v, start = len({b for _, b in counts}) + 1, lambda w: sum(n for (a, _), n in counts.items() if a == w)
+    pairs = [("new", "words"), ("words", "only"), ("only", "here")], [("a", "a")] * 3
+    for i, part in zip((4, 2), pairs):
+        cost = sum(-math.log((counts.get(p, 0) + 0.1) / (start(p[0]) + 0.1 * v)) for p in part)
+        assert [r["perplexity"] for r in got if r["review_id"] == i] == [pytest.approx(math.exp(cost / 3))]
+
+
 def test_auc_exact_with_a_hot_tie_and_monotone_invariant(scores):
     rows, df = scores
     pos, neg = [s for s, y in rows if y], [s for s, y in rows if not y]
