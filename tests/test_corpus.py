@@ -238,3 +238,8 @@ def test_strip_looks_at_the_ends_only_and_knows_all_blanks(spark):
     assert "regexp" not in stripped._jdf.queryExecution().optimizedPlan().toString()
     marked = spark.createDataFrame([r for r in rows if (r[0] or "").startswith(("*", "#", " *"))], "text string, want string")
     assert all(r["got"] == r["want"] for r in marked.select(clean.unwrapped(F.col("text")).alias("got"), "want").collect())
+
+
+def test_stored_tables_are_packed_with_zstd(spark):
+    df = stored(spark.range(100).select("id", F.repeat(F.lit("word "), 40).alias("text")), "packed")
+    assert df.count() == 100 and all(f.endswith(".zstd.parquet") for f in df.inputFiles())
