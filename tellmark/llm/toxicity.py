@@ -210,8 +210,10 @@ def build_index(postings: list[tuple[int, int, str, int]], df: dict[str, int], n
 
 def index_of(postings: pa.Table, n_docs: int, totals: dict[int, int], k: int = NEAREST) -> Index:
     """Index of the examples in a table (id, label, term, tf, df), which no Python object per row is
-    made of. An empty term stands for a text without terms."""
+    made of. An empty term stands for a text without terms. What is no longer needed is let go at once,
+    as all this lies on the driver."""
     table = postings.combine_chunks()
+    del postings
     known = table.filter(pc.not_equal(table["term"], ""))
     coded = pc.dictionary_encode(known["term"]).combine_chunks()
     coded = coded.chunk(0) if isinstance(coded, pa.ChunkedArray) else coded
@@ -219,6 +221,7 @@ def index_of(postings: pa.Table, n_docs: int, totals: dict[int, int], k: int = N
     place = np.empty(len(names), np.int64)
     place[np.array(sorted(range(len(names)), key=names.__getitem__), np.int64)] = np.arange(len(names))
     at = place[coded.indices.to_numpy()]
+    del coded
     counts = np.ones(len(names))
     counts[at] = pc.fill_null(known["df"], 1).to_numpy()
     idf = np.maximum(np.log((n_docs + 1) / np.maximum(counts, 1)), 0.0)
@@ -229,11 +232,13 @@ def index_of(postings: pa.Table, n_docs: int, totals: dict[int, int], k: int = N
         return index
     example = np.searchsorted(ids, known["id"].to_numpy())
     weights = (1 + np.log(known["tf"].to_numpy())) * idf[at]
+    del table, known
     norms = np.sqrt(np.bincount(example, weights * weights, len(ids)))
     used = norms[example] > 0
     example, at, weights = example[used], at[used], weights[used] / norms[example[used]]
     sort = np.lexsort((at, example))
     at, weights, ends = at[sort], weights[sort], np.cumsum(np.bincount(example, minlength=len(ids)))[:-1]
+    del example, used, sort
     vectors = list(zip(np.split(at, ends), np.split(weights, ends)))
     terms = index.terms
     order = _blocks(vectors, len(terms))
@@ -248,13 +253,18 @@ def index_of(postings: pa.Table, n_docs: int, totals: dict[int, int], k: int = N
     full = index.slots[at] >= 0
     index.columns[index.slots[at[full]], row[full]] = value[full]
     block, row, at, value = block[~full], row[~full], at[~full], value[~full]
+    del full
     n_blocks = (len(ids) - 1) // BLOCK + 1
     cell = block * len(terms) + at
     by_cell = np.argsort(cell, kind="stable")
-    index.starts = np.searchsorted(cell[by_cell], np.arange(n_blocks * len(terms) + 1)).astype(np.int32)
+    index.starts = np.zeros(n_blocks * len(terms) + 1, np.int32)
+    places, sizes = np.unique(cell, return_counts=True)
+    index.starts[places + 1] = sizes
+    np.cumsum(index.starts, out=index.starts)
     index.rows, index.values = row[by_cell].astype(np.int32), value[by_cell]
     index.most = np.zeros((n_blocks, len(terms)))
     np.maximum.at(index.most, (block, at), value)
+    del block, row, at, value, cell, by_cell, places, sizes
 
     votes, truth, weight = [], [], []
     parts = (index.column_part([vectors[i] for i in order[s : s + 500]]) for s in range(0, len(order), 500))
@@ -287,8 +297,9 @@ def fit(
     texts = docs.select(F.col(id_col).cast("bigint").alias("id"), present(F.col(text_col)).alias("text"))
     postings = texts.join(F.broadcast(chosen), "id").select("id", "label", "text")  # 2 x examples rows at most
     postings = postings.groupBy("id", "label").agg(F.min("text").alias("text")).mapInArrow(_postings, "id bigint, label int, term string, tf bigint")
+    n_docs = docs.count()
     joined = postings.join(document_frequencies(docs, text_col), "term", "left").select("id", "label", "term", "tf", "df")
-    return index_of(joined.toArrow(), docs.count(), totals, k)
+    return index_of(joined.toArrow(), n_docs, totals, k)
 
 
 # -- scoring ---------------------------------------------------------------------------------------------
