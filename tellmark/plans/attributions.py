@@ -13,6 +13,7 @@ model. Nothing is shuffled.
 """
 from __future__ import annotations
 
+import itertools
 import re
 import sys
 from collections.abc import Callable, Iterator
@@ -55,31 +56,39 @@ class Node:
 
 @dataclass
 class Masked:
-    """One text, its words and the nodes still to be split."""
+    """One text, the places of its words, the text with all of them masked, where each word's mask lies
+    in that, and the nodes still to be split."""
 
     review_id: int
     text: str
     mask: str
     words: list[re.Match] = field(init=False)
+    places: list[tuple[int, int]] = field(init=False)
+    blank: str = field(init=False)
+    blank_starts: list[int] = field(init=False)
     shares: np.ndarray = field(init=False)
     open: list[Node] = field(default_factory=list)
     left: int = EVALUATIONS
 
     def __post_init__(self) -> None:
         self.words = list(WORD.finditer(self.text))
-        self.shares = np.zeros(len(self.words))
+        self.places = [w.span() for w in self.words]
+        self.shares = np.zeros(len(self.places))
+        gaps = WORD.split(self.text)
+        self.blank = self.mask.join(gaps)
+        self.blank_starts = [size - len(self.mask) for size in itertools.accumulate(len(gap) + len(self.mask) for gap in gaps[:-1])]
 
     def shown(self, ranges: tuple[tuple[int, int], ...]) -> str:
-        """The text with all words masked but those of some ranges."""
-        on = np.zeros(len(self.words), bool)
-        for low, high in ranges:
-            on[low:high] = True
-        parts, at = [], 0
-        for word, keep in zip(self.words, on.tolist()):
-            if not keep:
-                parts += [self.text[at : word.start()], self.mask]
-                at = word.end()
-        return "".join([*parts, self.text[at:]])
+        """The text with all words masked but those of some ranges: cut in turn from the masked and
+        from the whole text."""
+        parts, at, done = [], 0, 0
+        for low, high in sorted(ranges):
+            low, done = max(low, done), max(high, done)
+            if low >= high:
+                continue
+            parts += [self.blank[at : self.blank_starts[low]], self.text[self.places[low][0] : self.places[high - 1][1]]]
+            at = self.blank_starts[high - 1] + len(self.mask)
+        return "".join([*parts, self.blank[at:]])
 
     def settle(self, node: Node) -> None:
         """Share a node's worth evenly among its words, if it cannot be split."""
@@ -166,8 +175,10 @@ def attributions(
             for i in range(0, len(batch), TEXTS):
                 part = batch.iloc[i : i + TEXTS]
                 rows = shares(list(zip(part.review_id, part.text)), score, mask, evaluations)
-                yield pd.DataFrame(
-                    [(r.review_id, w.start(), w.end(), w[0], s) for r in rows for w, s in zip(r.words, r.shares.tolist())],
-                    columns=["review_id", "start", "end", "text", "score"])
+                sizes = [len(r.words) for r in rows]
+                places = np.array([p for r in rows for p in r.places], np.int64).reshape(-1, 2)
+                yield pd.DataFrame({
+                    "review_id": np.repeat(part.review_id.to_numpy(), sizes), "start": places[:, 0], "end": places[:, 1],
+                    "text": [w[0] for r in rows for w in r.words], "score": np.concatenate([r.shares for r in rows])})
 
     return wanted.mapInPandas(run, SCHEMA)

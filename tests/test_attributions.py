@@ -84,3 +84,30 @@ def test_table(spark):
     assert A.attributions(df.limit(0), load, output="p").collect() == []
     scored = base_model.score_with_model(df.filter("text is not null").select("review_id", "text"), lambda: lambda b: load()(b)[["review_id", "p"]], "review_id bigint, p double")
     assert scored.count() == 6
+
+
+@pytest.mark.parametrize("mask", ["", "...", "x"])
+def test_masked_texts_are_cut_from_two_strings(mask):
+    """Word by word is right and was what it did, in time that grows with the words for every variant."""
+    text = "It's, per se — 'not' a day; 4 naïve words\n\nagain. "
+    row = A.Masked(1, text, mask)
+    pieces = lambda on: "".join(
+        gap + (w[0] if i in on else mask) for i, (gap, w) in enumerate(zip(A.WORD.split(text), row.words))) + A.WORD.split(text)[-1]
+    n = len(row.words)
+    for a in range(n + 1):
+        for b in range(a, n + 1):
+            assert row.shown(((a, b),)) == pieces(set(range(a, b)))
+            assert row.shown(((b, n), (0, a), (a, a))) == pieces({*range(a), *range(b, n)})
+    long = A.Masked(1, "word " * 20_000, "")
+    long.words = None  # no longer walked
+    assert long.shown(((0, 20_000),)) == "word " * 20_000
+
+
+def test_null_ids_and_texts_without_words_are_explained(spark):
+    rows = spark.createDataFrame([(None, "good day", 1.0), (7, "Bad", 1.0), (8, " ... ", 1.0), (9, "not asked", 0.1)], "review_id long, text string, prob double")
+
+    def load():
+        return lambda batch: batch.assign(prob=batch["text"].str.len().astype(float))[["review_id", "prob"]]
+
+    got = sorted(tuple(r) for r in A.attributions(rows.coalesce(1), load).fillna({"review_id": -1}).collect())
+    assert got == [(-1, 0, 4, "good", 4.0), (-1, 5, 8, "day", 3.0), (7, 0, 3, "Bad", 3.0)]
