@@ -124,10 +124,33 @@ def _word_places(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 [pa.array(c, t) for c, t in zip(columns, (pa.int64(), pa.int32(), pa.int32(), pa.string()))], names=["review_id", "start", "end", "text"])
 
 
+def _word_lists(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """`_word_places` with the words of a text in one row; a text without words has none."""
+    for batch in batches:
+        for i in range(0, batch.num_rows, 500):
+            ids, starts, ends, words, offsets = [], [], [], [], [0]
+            for k, text in zip(*(batch.slice(i, 500).column(j).to_pylist() for j in (0, 1))):
+                for m in WORD.finditer(text or ""):
+                    start, end = m.span()
+                    starts.append(start)
+                    ends.append(end)
+                    words.append(m[0])
+                if len(words) > offsets[-1]:
+                    ids.append(k)
+                    offsets.append(len(words))
+            places = pa.StructArray.from_arrays([pa.array(starts, pa.int32()), pa.array(ends, pa.int32()), pa.array(words, pa.string())], names=["start", "end", "text"])
+            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), places)], names=["review_id", "words"])
+
+
+def token_lists(df: DataFrame) -> DataFrame:
+    """(review_id, words): the word occurrences of each text that has any, in order. Narrow."""
+    rows = df.select(F.col("review_id").cast("bigint"), "text")
+    return rows.mapInArrow(_word_lists, "review_id bigint, words array<struct<start: int, end: int, text: string>>")
+
+
 def token_offsets(df: DataFrame) -> DataFrame:
     """(review_id, start, end, text, token): word occurrences with character offsets. Narrow."""
-    rows = df.select(F.col("review_id").cast("bigint"), "text").mapInArrow(_word_places, "review_id bigint, start int, end int, text string")
-    return rows.withColumn("token", F.lower("text"))
+    return token_lists(df).select("review_id", F.inline("words")).withColumn("token", F.lower("text"))
 
 
 def _weighted_places(batches: Iterator[pa.RecordBatch], weights) -> Iterator[pa.RecordBatch]:

@@ -247,3 +247,26 @@ def test_classify_ties_and_rejects(spark):
     df = spark.createDataFrame([(1, "some text", 0.5), (2, "some text", 0.75), (3, " ", 0.9)], "review_id long, text string, prob double")
     rows = [tuple(r)[4:] for r in verdict.classify_reviews(df).collect()]
     assert rows == [("human", 0.5, "User Description"), ("ai", 0.75, "AI Generated Feedback"), (None, None, None)]
+
+
+def test_words_of_a_text_come_in_one_row_and_are_not_sorted(spark, tmp_path):
+    from tellmark.plans import queries
+
+    rows = [(1, "Hello hello, don't!"), (2, None), (3, "42"), (1, "Zoo naïve"), (None, "a b")]
+    df = spark.createDataFrame(rows, "review_id long, text string")
+    lists = {(r["review_id"], tuple(tuple(w) for w in r["words"])) for r in base_model.token_lists(df).collect()}
+    flat = {(r["review_id"], r["start"], r["end"], r["text"], r["token"]) for r in base_model.token_offsets(df).collect()}
+    assert lists == {(1, ((0, 5, "Hello"), (6, 11, "hello"), (13, 18, "don't"))), (1, ((0, 3, "Zoo"), (4, 6, "na"), (7, 9, "ve"))), (None, ((0, 1, "a"), (2, 3, "b")))}
+    assert flat == {(k, *w, w[2].lower()) for k, words in lists for w in words}
+    spark.createDataFrame([(i, t, "en", "s") for i, t in rows], "doc_id long, text string, lang string, source string").write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    found = queries.token_offsets(spark, str(tmp_path))
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "Generate" not in plan  # a row a text, not a row a word, reaches the sorting aggregate
+    got = {r["review_id"]: (r["n"], r["starts"], r["ends"], r["last"]) for r in found.collect()}
+    want = {}
+    for k, words in [(k, base_model.WORD.finditer(r["text"] or "")) for k, r in ((r["review_id"], r) for r in queries.texts(spark, str(tmp_path)).collect())]:
+        for w in words:
+            n, a, b, last = want.get(k, (0, 0, 0, ""))
+            want[k] = (n + 1, a + w.start(), b + w.end(), max(last, w[0].lower()))
+    assert got == want
