@@ -50,3 +50,27 @@ def test_one_text_in_most_rows(spark):
     stream.arrive(*[(i, "same" if i % 3 else f"t{i}", 1) for i in range(3000)])
     found = stream.found()
     assert (1, 2000) in found and len(found) == 1001
+
+
+def test_reviews_without_an_id_come_after_those_with_one(spark):
+    stream = Arrivals(spark, "1 day")
+    stream.arrive((None, "a", 1), (4, "a", 1), (2, "a", 1), (None, "b", 1))
+    rows = sorted((r.review_id or -1, r.copies) for r in dedupe.survivors(spark, stream.out).collect())
+    assert rows == [(-1, 1), (2, 3)]
+
+
+def test_texts_meet_their_events_once(spark, tmp_path):
+    """Once a part before, so texts were shuffled four times where events are too many to be sent along."""
+    from tellmark.plans import queries
+
+    spark.createDataFrame([(i, f"t{i % 30}") for i in range(40)], "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    events = [(i, START + timedelta(hours=40 - i)) for i in range(40)] + [(0, START)]
+    spark.createDataFrame(events, "event_id long, ts timestamp").write.parquet(f"{tmp_path}/events.parquet")
+    arriving = queries._arriving(spark, str(tmp_path))
+    assert "Join" not in arriving._jdf.queryExecution().executedPlan().toString()
+    rows = arriving.orderBy("ts", "doc_id").collect()
+    assert len(rows) == 40 and [r["part"] for r in rows] == sorted(r["part"] for r in rows) and {r["part"] for r in rows} == {0, 1, 2, 3}
+    assert [r["doc_id"] for r in rows[:4]] == [0, 39, 38, 37]
+    assert {r["copies"] for r in queries.dedupe_stream(spark, str(tmp_path)).collect()} == {1, 2}
+    first = {r["review_id"]: r["copies"] for r in queries.counted_copies(spark, str(tmp_path)).collect()}
+    assert len(first) == 30 and first[0] == 2 and first[39] == 2 and first[31] == 2 and first[20] == 1
