@@ -5,8 +5,9 @@ before them. Discounts for counts of one, two and more follow from the counts of
 order. What a context gives up goes to the shorter context, and at last in equal shares to all known
 words and one unknown word, so the probabilities after any context add up to one.
 
-Everything is joins and sums of tables keyed by words. Texts are scored by way of their distinct
-trigrams, so a frequent trigram is joined once, not once an occurrence.
+Everything is joins and sums of tables keyed by words. A fit stores counts; shares and back-off weights
+are worked out for what is asked for, so the counts are not joined with their contexts whole. Texts are
+scored by way of their distinct trigrams, so a frequent trigram is joined once, not once an occurrence.
 """
 from __future__ import annotations
 
@@ -23,13 +24,13 @@ LEAST = 0.1  # no discount is lower, so that unseen words always get a share
 
 @dataclass
 class KneserNey:
-    """`three`, `two`, `one`: the discounted share p of a word after its context; `back3`, `back2`: the
-    weight g of the shorter context; `unseen`: the probability of a word that is not known."""
+    """`three`, `two`: the counts c of a word after its context, and their discounts; `one`: the
+    discounted share p of a word; `unseen`: the probability of a word that is not known."""
 
     three: DataFrame
-    back3: DataFrame
+    discounts3: list[float]
     two: DataFrame
-    back2: DataFrame
+    discounts2: list[float]
     one: DataFrame
     unseen: float
 
@@ -55,12 +56,13 @@ def _discount(ds: list[float]) -> Column:
     return F.when(F.col("c") == 1, ds[0]).when(F.col("c") == 2, ds[1]).otherwise(ds[2])
 
 
-def _order(counts: DataFrame, context: list[str]) -> tuple[DataFrame, DataFrame]:
-    """(shares, back-off weights) of one order from its (context, word, c)."""
-    d = _discount(discounts(counts))
-    contexts = counts.groupBy(*context).agg(F.sum("c").alias("total"), F.sum(d).alias("given"))
+def _order(counts: DataFrame, ds: list[float], context: list[str], asked: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(shares p, back-off weights g) of one order from its (context, word, c), for the words and contexts
+    that are asked for; the counts of all others are passed over."""
+    d, keys = _discount(ds), [c for c in counts.columns if c != "c"]
+    contexts = counts.join(asked.select(*context), context, "left_semi").groupBy(*context).agg(F.sum("c").alias("total"), F.sum(d).alias("given"))
     contexts = stored(contexts.select(*context, "total", (F.col("given") / F.col("total")).alias("g")), "contexts")
-    shares = counts.join(contexts, context).withColumn("p", (F.col("c") - d) / F.col("total"))
+    shares = counts.join(asked.select(*keys), keys, "left_semi").join(contexts, context).withColumn("p", (F.col("c") - d) / F.col("total"))
     return stored(shares.drop("c", "total", "g"), "shares"), contexts.drop("total")
 
 
@@ -70,21 +72,22 @@ def fit(df: DataFrame) -> KneserNey:
     c3 = stored(trigrams(df).groupBy("w1", "w2", "w3").agg(F.count("*").alias("c")), "three")
     c2 = stored(c3.groupBy("w2", "w3").agg(F.count("*").alias("c")), "two")
     c1 = stored(c2.groupBy("w3").agg(F.count("*").alias("c")), "one")
-    three, back3 = _order(c3, ["w1", "w2"])
-    two, back2 = _order(c2, ["w2"])
     d = _discount(discounts(c1))
     total, given, known = c1.agg(F.sum("c"), F.sum(d), F.count("*")).first()
     unseen = given / total / (known + 1) if known else 1.0
     one = c1.select("w3", ((F.col("c") - d) / F.lit(total or 1) + F.lit(unseen)).alias("p"))
-    return KneserNey(three, back3, two, back2, stored(one, "one-shares"), float(unseen))
+    return KneserNey(c3, discounts(c3), c2, discounts(c2), stored(one, "one-shares"), float(unseen))
 
 
 def probabilities(wanted: DataFrame, lm: KneserNey) -> DataFrame:
     """(w1, w2, w3, p) of distinct trigrams."""
+    asked = stored(wanted.select("w1", "w2", "w3").distinct(), "asked")
+    three, back3 = _order(lm.three, lm.discounts3, ["w1", "w2"], asked)
+    two, back2 = _order(lm.two, lm.discounts2, ["w2"], asked)
     found = (
-        wanted.select("w1", "w2", "w3").distinct()
-        .join(lm.three.withColumnRenamed("p", "p3"), ["w1", "w2", "w3"], "left").join(lm.back3.withColumnRenamed("g", "g3"), ["w1", "w2"], "left")
-        .join(lm.two.withColumnRenamed("p", "p2"), ["w2", "w3"], "left").join(lm.back2.withColumnRenamed("g", "g2"), ["w2"], "left")
+        asked
+        .join(three.withColumnRenamed("p", "p3"), ["w1", "w2", "w3"], "left").join(back3.withColumnRenamed("g", "g3"), ["w1", "w2"], "left")
+        .join(two.withColumnRenamed("p", "p2"), ["w2", "w3"], "left").join(back2.withColumnRenamed("g", "g2"), ["w2"], "left")
         .join(lm.one.withColumnRenamed("p", "p1"), ["w3"], "left")
     )
     part = lambda name, other: F.coalesce(name, F.lit(other))

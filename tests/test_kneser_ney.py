@@ -64,3 +64,17 @@ def test_an_empty_corpus_knows_no_word(spark):
     lm = kneser_ney.fit(spark.createDataFrame([(1, None)], "review_id long, text string"))
     row = kneser_ney.perplexity(spark.createDataFrame([(1, "a b")], "review_id long, text string"), lm).first()
     assert row["predicted"] == 3 and row["perplexity"] == pytest.approx(1)
+
+
+def test_only_what_is_asked_for_is_joined_with_its_context(spark):
+    """All counts were joined with their contexts and stored before, whatever was asked for."""
+    df = spark.createDataFrame([(1, "a b c a b d"), (2, "a b c e f")], "review_id long, text string")
+    lm = kneser_ney.fit(df)
+    asked = spark.createDataFrame([("a", "b", "c"), ("a", "b", "x"), ("q", "r", "s")], "w1 string, w2 string, w3 string")
+    three, back3 = kneser_ney._order(lm.three, lm.discounts3, ["w1", "w2"], asked)
+    two, back2 = kneser_ney._order(lm.two, lm.discounts2, ["w2"], asked)
+    d = lm.discounts3
+    (row,), (back,) = three.collect(), back3.collect()  # of 11 trigrams and 9 contexts
+    assert (row["w1"], row["w2"], row["w3"]) == ("a", "b", "c") and row["p"] == pytest.approx((2 - d[1]) / 3)
+    assert (back["w1"], back["w2"]) == ("a", "b") and back["g"] == pytest.approx((d[1] + d[0]) / 3)
+    assert [(r["w2"], r["w3"]) for r in two.collect()] == [("b", "c")] and [r["w2"] for r in back2.collect()] == ["b"]
