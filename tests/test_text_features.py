@@ -114,3 +114,18 @@ def test_features_do_not_depend_on_partitioning(spark, sf):
     rows = driver_reviews(spark, sf)
     results = [sorted(map(tuple, text_features(rows.repartition(p)).drop("text").collect()), key=lambda r: r[0]) for p in (1, 4, 17)]
     assert results[0] == results[1] == results[2]
+
+
+def test_words_and_tokens_are_found_once_for_both_kinds_of_features(spark):
+    """Words were found twice, tokens once in the whole text and once line by line."""
+    from tellmark.plans import detect
+
+    texts = ["", " ", "a", "  Great, great\x1f\n\n perfect!\r\nSTOP it　now ", "\n", "naïve lines\n\x00 x", None, "A B\tC\n\nlovely amazing 42!"]
+    df = spark.createDataFrame([(i, t, float(i % 5 + 1)) for i, t in enumerate(texts)], "review_id long, text string, rating double")
+    both = detect.text_features(df)
+    assert both.columns == [*df.columns, *L.TEXT_STYLE_FEATURES, *L.TEXT_RULE_FEATURES]
+    assert both._jdf.queryExecution().optimizedPlan().toString().count(f", {L.LOWER_WORD}, 0)") == 1
+    apart = rule_features(style_features(df))
+    assert sorted(map(str, both.collect())) == sorted(map(str, apart.collect()))
+    sums = df.select((X.sum_of(X.line_tokens(X.present(F.col("text")))) == X.token_count(X.present(F.col("text")))).alias("same"))
+    assert all(r["same"] for r in sums.collect())
