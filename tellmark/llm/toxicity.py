@@ -31,14 +31,23 @@ BLOCK = 64
 COLUMNS = 256
 EVIDENCE = 3
 THRESHOLD = 0.3
+#: Blocks that may be opened one by one; beyond this share of them all are, term by term.
+OPEN = 1 / 8
 TERM = re.compile(r"([^\W\d_]{1,4})[^\W\d_]*")
+#: Latin-1 bytes in lower case, blanks for all that is in no word.
+LETTERS = bytes(ord(chr(b).lower()) if TERM.match(chr(b)) else 32 for b in range(256))
 
 
 def term_counts(text: str) -> Counter:
-    """How often each beginning (four letters at most) of a word occurs, in lower case."""
-    if len(text) < 1 << 20:
+    """How often each beginning (four letters at most) of a word occurs, in lower case, by first
+    occurrence. Texts that Latin-1 can hold are cut as bytes, without the pattern."""
+    if len(text) >= 1 << 20:
+        return Counter(m[1] for m in TERM.finditer(text.lower()))
+    try:
+        words = text.encode("latin-1").translate(LETTERS).decode("latin-1").split()
+    except UnicodeEncodeError:
         return Counter(TERM.findall(text.lower()))
-    return Counter(m[1] for m in TERM.finditer(text.lower()))
+    return Counter([w[:4] for w in words])
 
 
 # -- corpus statistics and examples ----------------------------------------------------------------
@@ -87,7 +96,7 @@ POSTINGS = pa.schema([("id", pa.int64()), ("label", pa.int32()), ("term", pa.str
 
 @dataclass
 class Index:
-    """Postings by (block, term), the maxima of each block, and what the votes need."""
+    """Postings by (term, block), the maxima of each term by block, and what the votes need."""
 
     terms: dict[str, int]
     idf: np.ndarray
@@ -114,7 +123,7 @@ class Index:
 
     def _open(self, blocks: np.ndarray, at: np.ndarray, weights: np.ndarray, into: np.ndarray) -> None:
         """Add the exact cosines of the examples of some blocks."""
-        cells = (blocks[:, None] * len(self.idf) + at[None, :]).ravel()
+        cells = (blocks[:, None] + at[None, :] * self.most.shape[1]).ravel()
         first = self.starts[cells]
         size = self.starts[cells + 1] - first
         used = size > 0
@@ -124,6 +133,17 @@ class Index:
         places = np.arange(size.sum()) + np.repeat(first - before, size)
         into += np.bincount(self.rows[places], self.values[places] * np.repeat(w, size), len(into))
 
+    def _open_all(self, at: np.ndarray, weights: np.ndarray, into: np.ndarray) -> None:
+        """As `_open` for all blocks, a run of postings a term instead of one a block and term. The
+        terms of an example are added in the same order."""
+        n_blocks = self.most.shape[1]
+        first, end = self.starts[at * n_blocks], self.starts[(at + 1) * n_blocks]
+        runs = list(zip(first.tolist(), end.tolist()))
+        rows = np.concatenate([self.rows[a:b] for a, b in runs])
+        values = np.concatenate([self.values[a:b] for a, b in runs])
+        values *= np.repeat(weights, end - first)
+        into += np.bincount(rows, values, len(into))
+
     def column_part(self, vectors: list[tuple[np.ndarray, np.ndarray]]) -> np.ndarray:
         """What the terms kept as full columns add to each query's cosine with each example."""
         queries = np.zeros((len(vectors), len(self.columns)))
@@ -141,9 +161,10 @@ class Index:
         other = self.slots[at] < 0
         at, weights = at[other], weights[other]
         ends = np.arange(0, len(cosines), BLOCK)
-        bounds = np.maximum.reduceat(cosines, ends) + self.most[:, at] @ weights + 1e-9
+        bounds = np.maximum.reduceat(cosines, ends) + weights @ self.most[at] + 1e-9
         order = np.argsort(-bounds, kind="stable")
         first = order[: 2 + k // BLOCK]
+        columns = cosines.copy()
         self._open(first, at, weights, cosines)
         if leave_out >= 0:
             cosines[leave_out] = 0
@@ -151,7 +172,11 @@ class Index:
         rest = order[len(first) :]
         rest = rest[bounds[rest] >= limit]
         if len(rest):
-            self._open(rest, at, weights, cosines)
+            if len(at) and len(rest) > OPEN * len(ends):
+                cosines[:] = columns
+                self._open_all(at, weights, cosines)
+            else:
+                self._open(rest, at, weights, cosines)
             if leave_out >= 0:
                 cosines[leave_out] = 0
         if k < len(cosines):
@@ -255,15 +280,15 @@ def index_of(postings: pa.Table, n_docs: int, totals: dict[int, int], k: int = N
     block, row, at, value = block[~full], row[~full], at[~full], value[~full]
     del full
     n_blocks = (len(ids) - 1) // BLOCK + 1
-    cell = block * len(terms) + at
+    cell = at * n_blocks + block
     by_cell = np.argsort(cell, kind="stable")
     index.starts = np.zeros(n_blocks * len(terms) + 1, np.int32)
     places, sizes = np.unique(cell, return_counts=True)
     index.starts[places + 1] = sizes
     np.cumsum(index.starts, out=index.starts)
     index.rows, index.values = row[by_cell].astype(np.int32), value[by_cell]
-    index.most = np.zeros((n_blocks, len(terms)))
-    np.maximum.at(index.most, (block, at), value)
+    index.most = np.zeros((len(terms), n_blocks))
+    np.maximum.at(index.most, (at, block), value)
     del block, row, at, value, cell, by_cell, places, sizes
 
     votes, truth, weight = [], [], []

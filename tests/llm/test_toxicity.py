@@ -50,6 +50,37 @@ def test_terms():
     assert tox.term_counts("Idiotic idiots, naïveté 12ab_c x") == Counter({"idio": 2, "naïv": 1, "ab": 1, "c": 1, "x": 1})
 
 
+def test_terms_without_the_pattern(monkeypatch):
+    every = "".join(chr(b) + "x" * (b % 7) for b in range(256)) + " ÀÉÎõ\xa0ß\x85µ² ½a 9b_C\x1fZ"
+    want = list(Counter(tox.TERM.findall(every.lower())).items())
+
+    class Closed:
+        def findall(self, text):
+            raise AssertionError("the pattern was used")
+    monkeypatch.setattr(tox, "TERM", Closed())
+    assert list(tox.term_counts(every).items()) == want  # in the same order
+
+
+def test_blocks_opened_at_once(monkeypatch):
+    """Where many blocks open, all do by runs of a term; cosines are the very same as block by block."""
+    monkeypatch.setattr(tox, "BLOCK", 8)
+    monkeypatch.setattr(tox, "COLUMNS", 20)
+    rows = examples(6)
+    df = Counter(t for _, _, c in rows for t in c)
+    postings = [(i, y, t, n) for i, y, c in rows for t, n in (c or {"": 0}).items()]
+    index = tox.build_index(postings, df, len(rows), {0: 150, 1: 152}, k=5)
+    opened, whole = [], tox.Index._open_all
+    monkeypatch.setattr(tox.Index, "_open_all", lambda self, *args: (opened.append(1), whole(self, *args))[1])
+    queries = [c for _, _, c in rows + examples(8, 50)]
+    at_once = index.scores(queries, 5)
+    assert opened
+    monkeypatch.setattr(tox, "OPEN", 2)
+    opened.clear()
+    for (p, near, cosines), (q, other, others) in zip(at_once, index.scores(queries, 5), strict=True):
+        assert p == q and near.tolist() == other.tolist() and cosines.tolist() == others.tolist()
+    assert not opened
+
+
 def test_tables(spark):
     docs = spark.createDataFrame([(1, "bad vile words"), (2, "fine good words"), (3, None), (None, ""), (4, "123"), (4, "bad vile"), (5, "fine good words")],
                                  "doc_id bigint, text string").withColumn("score", F.lit("x"))
