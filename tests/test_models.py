@@ -122,6 +122,20 @@ def fitted(spark, sf):
     return base, wide, model, medians
 
 
+def test_base_fit_takes_a_task_by_the_characters(spark, monkeypatch):
+    """A step of the fit costs a job and a gradient a task, so few texts in many files take one task, many take more."""
+    rows = spark.createDataFrame([(i, i % 2, f"{'good bad'.split()[i % 2]} word{i % 5} " * 4) for i in range(64)], "review_id long, label int, text string")
+    tasks, fit = [], base_model.LogisticRegression.fit
+    monkeypatch.setattr(base_model.LogisticRegression, "fit", lambda self, df: (tasks.append(df.rdd.getNumPartitions()), fit(self, df))[1])
+    for characters in (base_model.CHARACTERS, 100):
+        monkeypatch.setattr(base_model, "CHARACTERS", characters)
+        base = base_model.fit_base_classifier(rows.repartition(8), rows, reg_params=(0.1,), max_iter=3)
+        assert all((r.base_prob > 0.5) == (r.label == 1) for r in base_model.base_prob(rows, base).collect())
+    assert tasks[0] == 1 and tasks[1] > 1
+    empty = base_model.fit_base_classifier(rows.withColumn("text", F.lit(None).cast("string")), rows, reg_params=(0.1,), max_iter=3)
+    assert base_model.base_prob(rows, empty).count() == 64
+
+
 def test_all_28_features_in_order(fitted):
     _, wide, model, _ = fitted
     assert fusion.feature_order(model) == L.FEATURES and len(L.FEATURES) == 28
