@@ -16,6 +16,7 @@ from pyspark.ml import PipelineModel
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tellmark import lexicon as L
+from tellmark.functions import packed
 from tellmark.operators import bigram, boosting, evaluate, neardup, profile, rules, split, style
 from tellmark.operators.boosting import BoostedTrees
 from tellmark.plans import base_model, detect, fusion
@@ -57,7 +58,7 @@ def roles(df: DataFrame, heldout: str, seed: int = 42) -> DataFrame:
 
 def version() -> str:
     """A digest of the code and settings that decide what `fit` stores."""
-    modules = (sys.modules[__name__], L, bigram, boosting, evaluate, neardup, split, style, rules, profile, base_model, detect, fusion)
+    modules = (sys.modules[__name__], L, packed, bigram, boosting, evaluate, neardup, split, style, rules, profile, base_model, detect, fusion)
     return hashlib.sha256("".join(inspect.getsource(m) for m in modules).encode()).hexdigest()
 
 
