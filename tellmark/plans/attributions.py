@@ -176,6 +176,8 @@ def attributions(
                 part = batch.iloc[i : i + TEXTS]
                 rows = shares(list(zip(part.review_id, part.text)), score, mask, evaluations)
                 sizes = [len(r.words) for r in rows]
+                if not sum(sizes):  # an empty column of strings is no Arrow array
+                    continue
                 places = np.array([p for r in rows for p in r.places], np.int64).reshape(-1, 2)
                 yield pd.DataFrame({
                     "review_id": np.repeat(part.review_id.to_numpy(), sizes), "start": places[:, 0], "end": places[:, 1],
